@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.functions import dims
-from cohortloom.operators import signup
+from cohortloom.operators import reshape, signup
 from cohortloom.sources import events as S
 from cohortloom.sources import fixtures as FX
 
@@ -80,3 +80,27 @@ def q_signup_shaped(spark, sf_dir):
 @register("signup_first")
 def q_signup_first(spark, sf_dir):
     return signup.signup_first(_union(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- R-2, R-3
+METHOD_START = "2024-01-10"
+
+
+@register("method_matrix_tall")
+def q_method_matrix_tall(spark, sf_dir):
+    return reshape.method_matrix_tall(signup_report(spark, sf_dir, ordered=False), METHOD_START)
+
+
+@register("method_matrix_array")
+def q_method_matrix_array(spark, sf_dir):
+    return reshape.method_matrix_array(signup_report(spark, sf_dir, ordered=False), METHOD_START)
+
+
+@register("daily_totals")
+def q_daily_totals(spark, sf_dir):
+    return reshape.daily_totals(signup_report(spark, sf_dir, ordered=False))
+
+
+@register("payload_json")
+def q_payload_json(spark, sf_dir):
+    return reshape.payloads(signup_report(spark, sf_dir, ordered=False), METHOD_START)
