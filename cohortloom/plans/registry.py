@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.functions import dims
-from cohortloom.operators import reshape, signup
+from cohortloom.operators import experiment, funnel, reshape, signup
 from cohortloom.sources import events as S
 from cohortloom.sources import fixtures as FX
 
@@ -104,3 +104,38 @@ def q_daily_totals(spark, sf_dir):
 @register("payload_json")
 def q_payload_json(spark, sf_dir):
     return reshape.payloads(signup_report(spark, sf_dir, ordered=False), METHOD_START)
+
+
+# ---------------------------------------------------------------- R-4 .. R-6
+def assignment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assign = experiment.assignment_events(FX.app_events(spark, sf_dir))
+    return experiment.assignment_status(assign, FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
+
+
+def funnel_table(spark: SparkSession, sf_dir: str, by=("country_code",)) -> DataFrame:
+    ev = FX.app_events(spark, sf_dir)
+    steps = funnel.steps_frame(spark)
+    status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
+    masks = funnel.step_masks(ev, steps, funnel.step_event_names())
+    devices = funnel.device_funnel(experiment.stable_devices(status), masks)
+    return funnel.funnel_reach(devices, steps, by)
+
+
+@register("assignment_status")
+def q_assignment_status(spark, sf_dir):
+    return assignment_table(spark, sf_dir)
+
+
+@register("health_counts")
+def q_health_counts(spark, sf_dir):
+    return experiment.health_counts(assignment_table(spark, sf_dir))
+
+
+@register("funnel_reach")
+def q_funnel_reach(spark, sf_dir):
+    return funnel_table(spark, sf_dir)
+
+
+@register("funnel_metrics")
+def q_funnel_metrics(spark, sf_dir):
+    return funnel.funnel_metrics(funnel_table(spark, sf_dir), funnel.gaps_frame(spark, FX.FIXTURE_GAPS))

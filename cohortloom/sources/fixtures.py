@@ -241,3 +241,6 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("ts"),
         F.col("o_orderkey").alias("seq"),
     )
+
+# known gap used on the test tables so the flag has rows to mark
+FIXTURE_GAPS = [("B", "1.4.2", "lesson_start")]
