@@ -87,7 +87,8 @@ def device_funnel(stable: DataFrame, masks: DataFrame) -> DataFrame:
                     F.coalesce(F.col("mask"), F.lit(0).cast("bigint")).alias("mask")))
 
 
-def funnel_reach(devices: DataFrame, steps: DataFrame, by=("country_code",), all_label=dims.ALL_COUNTRIES) -> DataFrame:
+def funnel_reach(devices: DataFrame, steps: DataFrame, by=("country_code",), all_label=dims.ALL_COUNTRIES,
+                 with_all: bool = True) -> DataFrame:
     """(grp, <by>, step) -> assigned, reached (cumulative), hit (any order).
 
     ``by`` columns get an extra "all" row from grouping sets that counts
@@ -95,10 +96,13 @@ def funnel_reach(devices: DataFrame, steps: DataFrame, by=("country_code",), all
     ``grouping_id`` tells it apart from a null key.
     """
     by = list(by)
-    counts = (devices.groupingSets([["grp", *by, "mask"], ["grp", "mask"]], "grp", *by, "mask")
-              .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
-    counts = counts.select("grp", *[F.when(F.col("gid") > 0, F.lit(all_label)).otherwise(F.col(b)).alias(b)
-                                    for b in by], "mask", "n")
+    if with_all:
+        counts = (devices.groupingSets([["grp", *by, "mask"], ["grp", "mask"]], "grp", *by, "mask")
+                  .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
+        counts = counts.select("grp", *[F.when(F.col("gid") > 0, F.lit(all_label)).otherwise(F.col(b)).alias(b)
+                                        for b in by], "mask", "n")
+    else:
+        counts = devices.groupBy("grp", *by, "mask").agg(F.count(F.lit(1)).alias("n"))
     s = bounded_broadcast(steps.select("grp", "step_no", "step"), 10_000)
     joined = counts.join(s, "grp", "inner")
     reached = depth(F.col("mask")) >= F.col("step_no")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.functions import dims
-from cohortloom.operators import experiment, funnel, reshape, signup
+from cohortloom.operators import alerts, experiment, funnel, payments, reshape, signup
 from cohortloom.sources import events as S
 from cohortloom.sources import fixtures as FX
 
@@ -139,3 +139,65 @@ def q_funnel_reach(spark, sf_dir):
 @register("funnel_metrics")
 def q_funnel_metrics(spark, sf_dir):
     return funnel.funnel_metrics(funnel_table(spark, sf_dir), funnel.gaps_frame(spark, FX.FIXTURE_GAPS))
+
+
+# ---------------------------------------------------------------- R-7, R-8
+def _devices(spark: SparkSession, sf_dir: str):
+    ev = FX.app_events(spark, sf_dir)
+    steps = funnel.steps_frame(spark)
+    status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
+    masks = funnel.step_masks(ev, steps, funnel.step_event_names())
+    return status, funnel.device_funnel(experiment.stable_devices(status), masks), steps
+
+
+@register("hourly_counts")
+def q_hourly_counts(spark, sf_dir):
+    return alerts.hourly_counts(FX.app_events(spark, sf_dir))
+
+
+@register("zero_runs")
+def q_zero_runs(spark, sf_dir):
+    return alerts.zero_runs(FX.app_events(spark, sf_dir))
+
+
+@register("version_drop")
+def q_version_drop(spark, sf_dir):
+    _, devices, steps = _devices(spark, sf_dir)
+    return alerts.version_drop(alerts.reach_by_version(devices, steps))
+
+
+@register("event_completeness")
+def q_event_completeness(spark, sf_dir):
+    _, devices, steps = _devices(spark, sf_dir)
+    return alerts.event_completeness(alerts.reach_by_version(devices, steps), steps,
+                                     funnel.gaps_frame(spark, FX.FIXTURE_GAPS))
+
+
+def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = assignment_table(spark, sf_dir)
+    return payments.device_orders(experiment.stable_devices(status), FX.orders_prod(spark, sf_dir),
+                                  FX.ASSIGN_CUTOFF)
+
+
+@register("orders_7d")
+def q_orders_7d(spark, sf_dir):
+    return orders_table(spark, sf_dir)
+
+
+@register("mature_rate")
+def q_mature_rate(spark, sf_dir):
+    return payments.mature_rate(orders_table(spark, sf_dir))
+
+
+@register("order_totals")
+def q_order_totals(spark, sf_dir):
+    return payments.order_totals(orders_table(spark, sf_dir))
+
+
+@register("verdict_state")
+def q_verdict_state(spark, sf_dir):
+    _, devices, steps = _devices(spark, sf_dir)
+    gaps = funnel.gaps_frame(spark, FX.FIXTURE_GAPS)
+    metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, steps), gaps)
+    completeness = alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, gaps)
+    return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir))
