@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.functions import dims
-from cohortloom.operators import alerts, experiment, funnel, payments, reshape, signup
+from cohortloom.operators import alerts, experiment, feedback, funnel, payments, reshape, signup, workflow
 from cohortloom.sources import events as S
 from cohortloom.sources import fixtures as FX
 
@@ -201,3 +201,97 @@ def q_verdict_state(spark, sf_dir):
     metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, steps), gaps)
     completeness = alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, gaps)
     return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- R-9, R-10
+@register("feedback_accepted")
+def q_feedback_accepted(spark, sf_dir):
+    acc = feedback.feedback_accepted(FX.feedback_records(spark, sf_dir))
+    return acc.select("doc_id", "name", "text", F.size("images").alias("n_images"),
+                      F.to_json("images").alias("images_json"), "context", "page", "demo")
+
+
+@register("feedback_rejected")
+def q_feedback_rejected(spark, sf_dir):
+    rej = feedback.feedback_rejected(FX.feedback_records(spark, sf_dir))
+    return rej.select("doc_id", "name", F.length("text").alias("text_chars"),
+                      F.size("images").alias("n_images"), "page", "reason")
+
+
+@register("page_clean")
+def q_page_clean(spark, sf_dir):
+    checked = feedback.checked_feedback(FX.feedback_records(spark, sf_dir))
+    return checked.groupBy("page").agg(F.count(F.lit(1)).alias("records"),
+                                       F.count_if("accepted").alias("accepted"))
+
+
+@register("feedback_routes")
+def q_feedback_routes(spark, sf_dir):
+    return feedback.feedback_routes(FX.feedback_triage(spark, sf_dir), FX.pool_table(spark, sf_dir),
+                                    FX.release_table(spark, sf_dir))
+
+
+@register("transcript_lines")
+def q_transcript_lines(spark, sf_dir):
+    return feedback.transcript_lines(FX.speech_segments(spark, sf_dir))
+
+
+@register("transcript")
+def q_transcript(spark, sf_dir):
+    return feedback.transcript(FX.speech_segments(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- R-11 .. R-14
+RELEASE_VERSION = "1.3.0"
+
+
+@register("pool_to_release")
+def q_pool_to_release(spark, sf_dir):
+    return workflow.pool_to_release(workflow.pool_clean(FX.pool_table(spark, sf_dir)))
+
+
+@register("handoff_missing")
+def q_handoff_missing(spark, sf_dir):
+    return workflow.handoff_missing(FX.pool_table(spark, sf_dir), FX.release_table(spark, sf_dir))
+
+
+@register("version_mismatch")
+def q_version_mismatch(spark, sf_dir):
+    return workflow.version_mismatch(FX.pool_table(spark, sf_dir), FX.release_table(spark, sf_dir))
+
+
+@register("not_closed")
+def q_not_closed(spark, sf_dir):
+    return workflow.not_closed(FX.pool_table(spark, sf_dir), FX.release_table(spark, sf_dir))
+
+
+@register("dependency_check")
+def q_dependency_check(spark, sf_dir):
+    return workflow.dependency_check(FX.pool_table(spark, sf_dir))
+
+
+@register("release_missing_fields")
+def q_release_missing_fields(spark, sf_dir):
+    return workflow.release_missing_fields(FX.release_table(spark, sf_dir))
+
+
+@register("release_list")
+def q_release_list(spark, sf_dir):
+    return workflow.release_list(FX.release_table(spark, sf_dir), RELEASE_VERSION)
+
+
+@register("release_by_type")
+def q_release_by_type(spark, sf_dir):
+    return workflow.release_by_type(FX.release_table(spark, sf_dir))
+
+
+@register("status_audit")
+def q_status_audit(spark, sf_dir):
+    return workflow.status_audit(FX.status_log(spark, sf_dir))
+
+
+@register("triage_counts")
+def q_triage_counts(spark, sf_dir):
+    return (feedback.route_checks(FX.feedback_triage(spark, sf_dir))
+            .groupBy("destination").agg(F.count(F.lit(1)).alias("records"),
+                                        F.count_if("missing_link").alias("missing_link")))

@@ -244,3 +244,27 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # known gap used on the test tables so the flag has rows to mark
 FIXTURE_GAPS = [("B", "1.4.2", "lesson_start")]
+
+
+def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return part.select("p_partkey", F.concat(F.col("p_name"), F.lit(" #"),
+                                             F.col("p_partkey").cast("string")).alias("title"))
+
+
+def feedback_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted feedback with its triage destination and, when routed to
+    the pool or to testing, the linked requirement title (missing on
+    purpose for doc_id % 7 = 0)."""
+    from cohortloom.operators.feedback import feedback_accepted
+
+    acc = feedback_accepted(feedback_records(spark, sf_dir))
+    titles = part_titles(spark, sf_dir)
+    n_parts = titles.count()
+    did = F.col("doc_id")
+    dest = _pick(dims.FEEDBACK_DESTINATIONS, did % 4)
+    linked = dest.isin("pool", "test") & ((did % 7) != 0)
+    base = acc.select("doc_id", dest.alias("destination"),
+                      F.when(linked, did % F.lit(max(n_parts, 1))).alias("p_partkey"))
+    return (base.join(titles, "p_partkey", "left")
+            .select("doc_id", "destination", F.col("title").alias("link")))
