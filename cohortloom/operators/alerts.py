@@ -43,7 +43,13 @@ def zero_runs(events: DataFrame, key_events=None, dim: Column | None = None,
     event, per (dim, key event), on the grid from the run's first to last
     hour. Every dim value seen gets every key event."""
     names = list(key_events or KEY_EVENTS)
-    counts = hourly_counts(events, names, dim)
+    return zero_runs_from_counts(hourly_counts(events, names, dim), names, min_hours)
+
+
+def zero_runs_from_counts(counts: DataFrame, key_events=None, min_hours: int = dims.ZERO_RUN_HOURS) -> DataFrame:
+    """Zero runs from (dim, event_name, hour, n) counts, e.g. the output
+    of the streaming hourly monitor."""
+    names = list(key_events or KEY_EVENTS)
     lo = counts.select(F.min("hour")).scalar()
     hi = counts.select(F.max("hour")).scalar()
     grid = (counts.select("dim").distinct()

@@ -44,12 +44,19 @@ def method_matrix_tall(report: DataFrame, method_start=dims.DEFAULT_METHOD_START
 
 def method_matrix_array(report: DataFrame, method_start=dims.DEFAULT_METHOD_START,
                         countries=None, fields=None) -> DataFrame:
-    """Per country, the days in order, each an array of the 8 values."""
+    """Per country of the fixed list, the days in order, each an array of
+    the 8 values; a country gets an empty list when no day qualifies."""
+    cs = list(countries or dims.MATRIX_COUNTRIES)
     fs = list(fields or dims.MATRIX_FIELDS)
-    tall = method_matrix_tall(report, method_start, countries, fs)
-    return (tall.groupBy("country_code", "sort_no")
-            .agg(F.sort_array(F.collect_list(F.struct("cohort_date", F.array(*fs).alias("v")))).alias("cells"))
-            .select("country_code", "sort_no", F.transform("cells", lambda x: x["v"]).alias("values")))
+    tall = method_matrix_tall(report, method_start, cs, fs)
+    per_country = (tall.groupBy("country_code")
+                   .agg(F.sort_array(F.collect_list(F.struct("cohort_date", F.array(*fs).alias("v"))))
+                        .alias("cells")))
+    dim = report.sparkSession.createDataFrame(list(enumerate(cs)), "sort_no int, country_code string")
+    return (F.broadcast(dim).join(per_country, "country_code", "left")
+            .select("country_code", "sort_no",
+                    F.coalesce(F.transform("cells", lambda x: x["v"]),
+                               F.array().cast("array<array<bigint>>")).alias("values")))
 
 
 def day_label(day: Column, latest: Column) -> Column:
