@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from cohortloom.functions import dims
 from cohortloom.functions import params as P
 from cohortloom.operators import funnel as FN
-from cohortloom.plans.broadcast import bounded_broadcast
 
 HOUR_MICROS = 3_600_000_000
 KEY_EVENTS = [dims.FIRST_OPEN, dims.SIGNUP_RESULT, dims.ASSIGN_EVENT]
@@ -93,23 +92,25 @@ def version_drop(reach_by_version: DataFrame, drop: float = dims.VERSION_DROP) -
                       F.coalesce((F.col("prev_rate") > 0) & (fall >= F.lit(drop)), F.lit(False)).alias("is_drop"))
 
 
-def event_completeness(reach_by_version: DataFrame, steps: DataFrame, gaps: DataFrame) -> DataFrame:
+def event_completeness(reach_by_version: DataFrame, steps=None, gaps=None) -> DataFrame:
     """Devices per (group, version, step) on the dense grid of every
     version seen × the group's steps. ``is_gap``: no device in this
     version while another version of the same group and step has some."""
     versions = reach_by_version.select(F.sort_array(F.collect_set("app_version"))).scalar()
-    grid = steps.select("grp", "step_no", "step", F.explode(versions).alias("app_version"))
+    spark = reach_by_version.sparkSession
+    grid = FN.steps_frame(spark, steps).select("grp", "step_no", "step", F.explode(versions).alias("app_version"))
     n = (grid.join(reach_by_version.select("grp", "app_version", "step_no", "hit"),
                    ["grp", "app_version", "step_no"], "left")
          .select("grp", "app_version", "step_no", "step", F.coalesce(F.col("hit"), F.lit(0)).alias("n_devices")))
     w = Window.partitionBy("grp", "step_no")
-    known = gaps.select("grp", "app_version", "step").distinct().withColumn("is_known_gap", F.lit(True))
+    known = (FN.gaps_frame(spark, gaps).select("grp", "app_version", "step").distinct()
+             .withColumn("is_known_gap", F.lit(True)))
     return (n.select("*", ((F.col("n_devices") == 0) & (F.max("n_devices").over(w) > 0)).alias("is_gap"))
-            .join(bounded_broadcast(known, 10_000), ["grp", "app_version", "step"], "left")
+            .join(known, ["grp", "app_version", "step"], "left")
             .select("grp", "app_version", "step_no", "step", "n_devices", "is_gap",
                     F.coalesce(F.col("is_known_gap"), F.lit(False)).alias("is_known_gap")))
 
 
-def reach_by_version(devices: DataFrame, steps: DataFrame) -> DataFrame:
+def reach_by_version(devices: DataFrame, steps=None) -> DataFrame:
     """Funnel reach per (group, version, step), without an "all" row."""
     return FN.funnel_reach(devices, steps, by=("app_version",), with_all=False)

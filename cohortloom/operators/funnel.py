@@ -18,7 +18,7 @@ from cohortloom import schemas
 from cohortloom.functions import dims
 from cohortloom.functions import params as P
 from cohortloom.operators import experiment as X
-from cohortloom.plans.broadcast import bounded_broadcast
+from cohortloom.plans.broadcast import dimension
 
 MAX_STEPS = 62   # the bitmask is a bigint
 
@@ -39,14 +39,17 @@ def default_steps() -> list[tuple]:
 
 
 def steps_frame(spark: SparkSession, steps=None) -> DataFrame:
-    rows = list(steps or default_steps())
-    if any(r[1] < 1 or r[1] > MAX_STEPS for r in rows):
+    """Step list (rows or a DataFrame) as a broadcast-ready dimension."""
+    if steps is None:
+        steps = default_steps()
+    if not isinstance(steps, DataFrame) and any(r[1] < 1 or r[1] > MAX_STEPS for r in steps):
         raise ValueError(f"step_no must be in 1..{MAX_STEPS}")
-    return spark.createDataFrame(rows, schemas.FUNNEL_STEPS)
+    return dimension(spark, steps, schemas.FUNNEL_STEPS)
 
 
 def gaps_frame(spark: SparkSession, gaps=None) -> DataFrame:
-    return spark.createDataFrame(list(gaps if gaps is not None else dims.KNOWN_GAPS), schemas.KNOWN_GAPS)
+    """Known tracking gaps (rows or a DataFrame) as a dimension."""
+    return dimension(spark, dims.KNOWN_GAPS if gaps is None else gaps, schemas.KNOWN_GAPS)
 
 
 def _trailing_ones(x: Column) -> Column:
@@ -58,17 +61,20 @@ def depth(mask: Column) -> Column:
     return _trailing_ones(F.shiftright(mask, 1))
 
 
-def step_masks(events: DataFrame, steps: DataFrame, event_names=None) -> DataFrame:
+def step_masks(events: DataFrame, steps=None, event_names=None) -> DataFrame:
     """(device, grp, mask): which steps of each group's list the device
-    hit. ``event_names`` (literal) lets the name filter reach the scan."""
+    hit. ``event_names`` (literal) lets the name filter reach the scan;
+    with a step list it is derived from it."""
+    if event_names is None and not isinstance(steps, DataFrame):
+        event_names = step_event_names(steps)
+    steps = steps_frame(events.sparkSession, steps)
     ev = events
     if event_names:
         ev = ev.where(F.col("event_name").isin(list(event_names)))
     ev = ev.select("user_pseudo_id", "event_name",
                    P.param("lesson_id", "int_value").alias("lesson_id"),
                    P.is_success().alias("ok"))
-    s = bounded_broadcast(steps.select("grp", "step_no", F.col("event_name").alias("s_event"),
-                                       "lesson_ids", "require_success"), 10_000)
+    s = steps.select("grp", "step_no", F.col("event_name").alias("s_event"), "lesson_ids", "require_success")
     cond = ((F.col("event_name") == F.col("s_event"))
             & (F.col("lesson_ids").isNull() | F.coalesce(F.array_contains("lesson_ids", F.col("lesson_id")),
                                                          F.lit(False)))
@@ -87,7 +93,7 @@ def device_funnel(stable: DataFrame, masks: DataFrame) -> DataFrame:
                     F.coalesce(F.col("mask"), F.lit(0).cast("bigint")).alias("mask")))
 
 
-def funnel_reach(devices: DataFrame, steps: DataFrame, by=("country_code",), all_label=dims.ALL_COUNTRIES,
+def funnel_reach(devices: DataFrame, steps=None, by=("country_code",), all_label=dims.ALL_COUNTRIES,
                  with_all: bool = True) -> DataFrame:
     """(grp, <by>, step) -> assigned, reached (cumulative), hit (any order).
 
@@ -103,7 +109,7 @@ def funnel_reach(devices: DataFrame, steps: DataFrame, by=("country_code",), all
                                         for b in by], "mask", "n")
     else:
         counts = devices.groupBy("grp", *by, "mask").agg(F.count(F.lit(1)).alias("n"))
-    s = bounded_broadcast(steps.select("grp", "step_no", "step"), 10_000)
+    s = steps_frame(devices.sparkSession, steps).select("grp", "step_no", "step")
     joined = counts.join(s, "grp", "inner")
     reached = depth(F.col("mask")) >= F.col("step_no")
     hit = (F.expr("shiftright(mask, step_no)") % 2) == 1
@@ -117,7 +123,7 @@ def _rate(num: Column, den: Column) -> Column:
     return F.round(F.try_divide(num.cast("double"), den.cast("double")), 6)
 
 
-def funnel_metrics(reach: DataFrame, gaps: DataFrame, groups=None, min_sample: int = dims.SMALL_SAMPLE_MIN,
+def funnel_metrics(reach: DataFrame, gaps=None, groups=None, min_sample: int = dims.SMALL_SAMPLE_MIN,
                    by: str = "country_code") -> DataFrame:
     """Step conversion, start conversion, step loss, small-sample and
     known-gap flags.
@@ -134,8 +140,8 @@ def funnel_metrics(reach: DataFrame, gaps: DataFrame, groups=None, min_sample: i
     n_groups = F.size(F.collect_set(F.when(F.col("step_no") == 1, F.col("grp"))).over(country_w))
     min_base = F.min(first_base).over(country_w)
     small = (n_groups < F.lit(len(gs))) | (min_base < F.lit(min_sample))
-    gap_keys = bounded_broadcast(gaps.select("grp", "step").distinct()
-                                 .withColumn("is_known_gap", F.lit(True)), 10_000)
+    gap_keys = (gaps_frame(reach.sparkSession, gaps).select("grp", "step").distinct()
+                .withColumn("is_known_gap", F.lit(True)))
     out = (reach.select("*", prev.alias("prev_reached"), base.alias("base"), small.alias("small_sample"))
            .join(gap_keys, ["grp", "step"], "left"))
     return out.select(
@@ -148,7 +154,7 @@ def funnel_metrics(reach: DataFrame, gaps: DataFrame, groups=None, min_sample: i
     )
 
 
-def country_funnel(events: DataFrame, assign_events: DataFrame, steps: DataFrame, start, cutoff,
+def country_funnel(events: DataFrame, assign_events: DataFrame, steps=None, start=None, cutoff=None,
                    platform: str | None = dims.PLATFORM, event_names=None) -> DataFrame:
     """R-5 end to end: assignment status -> stable devices -> masks -> reach."""
     status = X.assignment_status(assign_events, start, cutoff, platform)
@@ -157,4 +163,4 @@ def country_funnel(events: DataFrame, assign_events: DataFrame, steps: DataFrame
 
 
 def step_event_names(steps=None) -> list[str]:
-    return sorted({r[3] for r in (steps or default_steps())})
+    return sorted({r[3] for r in (default_steps() if steps is None else steps)})

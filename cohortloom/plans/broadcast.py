@@ -19,3 +19,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def dimension(spark, rows, schema, max_rows: int = 10_000) -> DataFrame:
+    """A static dimension as a DataFrame ready to join.
+
+    ``rows`` as a Python list has a known length, so it is broadcast
+    without a count job when within ``max_rows``; a DataFrame goes
+    through ``bounded_broadcast``.
+    """
+    if isinstance(rows, DataFrame):
+        return bounded_broadcast(rows, max_rows)
+    rows = list(rows)
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= max_rows else df

@@ -114,11 +114,9 @@ def assignment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def funnel_table(spark: SparkSession, sf_dir: str, by=("country_code",)) -> DataFrame:
     ev = FX.app_events(spark, sf_dir)
-    steps = funnel.steps_frame(spark)
     status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
-    masks = funnel.step_masks(ev, steps, funnel.step_event_names())
-    devices = funnel.device_funnel(experiment.stable_devices(status), masks)
-    return funnel.funnel_reach(devices, steps, by)
+    devices = funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev))
+    return funnel.funnel_reach(devices, by=by)
 
 
 @register("assignment_status")
@@ -138,16 +136,14 @@ def q_funnel_reach(spark, sf_dir):
 
 @register("funnel_metrics")
 def q_funnel_metrics(spark, sf_dir):
-    return funnel.funnel_metrics(funnel_table(spark, sf_dir), funnel.gaps_frame(spark, FX.FIXTURE_GAPS))
+    return funnel.funnel_metrics(funnel_table(spark, sf_dir), FX.FIXTURE_GAPS)
 
 
 # ---------------------------------------------------------------- R-7, R-8
 def _devices(spark: SparkSession, sf_dir: str):
     ev = FX.app_events(spark, sf_dir)
-    steps = funnel.steps_frame(spark)
     status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
-    masks = funnel.step_masks(ev, steps, funnel.step_event_names())
-    return status, funnel.device_funnel(experiment.stable_devices(status), masks), steps
+    return status, funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev)), None
 
 
 @register("hourly_counts")
@@ -169,8 +165,7 @@ def q_version_drop(spark, sf_dir):
 @register("event_completeness")
 def q_event_completeness(spark, sf_dir):
     _, devices, steps = _devices(spark, sf_dir)
-    return alerts.event_completeness(alerts.reach_by_version(devices, steps), steps,
-                                     funnel.gaps_frame(spark, FX.FIXTURE_GAPS))
+    return alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, FX.FIXTURE_GAPS)
 
 
 def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +192,7 @@ def q_order_totals(spark, sf_dir):
 @register("verdict_state")
 def q_verdict_state(spark, sf_dir):
     _, devices, steps = _devices(spark, sf_dir)
-    gaps = funnel.gaps_frame(spark, FX.FIXTURE_GAPS)
+    gaps = FX.FIXTURE_GAPS
     metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, steps), gaps)
     completeness = alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, gaps)
     return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir))

@@ -39,6 +39,17 @@ OTHER_RELEASE_TYPES = ["紧急Bug", "研发优化", "体验优化"]
 FEEDBACK_BLANK_TEXT = " \t\n "
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one test table. Each is a single small file, which Spark reads
+    as one split, so all derivation work would run in one task; when the
+    split count is below the default parallelism the rows are spread
+    round-robin first. Large inputs arrive in many splits and are read
+    as they are."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    target = spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _pick(values, index: Column) -> Column:
     """``values[index]`` as a CASE over a literal list."""
     expr = None
@@ -73,7 +84,7 @@ def group_rule(uid: Column, k: Column) -> Column:
 
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> warehouse-shaped app events with a ``suffix`` column."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = read_table(spark, sf_dir, "events")
     k = _k()
     uid = F.col("user_id")
     ts = F.col("ts").cast("timestamp")
@@ -117,7 +128,7 @@ def intraday_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events -> production orders."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("event_type") == "purchase")
+    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     k = _k()
     return ev.select(
         F.concat(F.lit("d"), F.col("user_id").cast("string")).alias("user_pseudo_id"),
@@ -129,7 +140,7 @@ def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    conv = read_table(spark, sf_dir, "conversations")
     return conv.select(
         F.col("conv_id").cast("string").alias("session"),
         F.col("turn").cast("bigint").alias("pos"),
@@ -144,7 +155,7 @@ def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     The page count is one scalar resolved first; the page lookup is an
     equi-join on ``doc_id % n_pages``.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     n_pages = pages.count()
     did = F.col("doc_id")
@@ -232,7 +243,7 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` -> release status changes: id = customer, ts = order date,
     status = element ``o_orderkey % 8`` of the chain, ``seq`` breaks ties."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = read_table(spark, sf_dir, "orders")
     chain = dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS]
     return orders.select(
         F.lit("release").alias("table_name"),
