@@ -75,9 +75,13 @@ ANONYMOUS_NAME = "匿名"
 MAX_NAME_CHARS = 20
 MAX_TEXT_CHARS = 2000
 MAX_IMAGES = 9
-# characters removed by a browser string trim
-TRIM_CHARS = (r"\t\n\x{0B}\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
-              r"\x{202F}\x{205F}\x{3000}\x{FEFF}")
+# characters removed by a browser string trim (code points): tab, line
+# feed, vertical tab, form feed, carriage return, space, no-break space,
+# ogham space, en quad .. hair space, line separator, paragraph separator,
+# narrow no-break space, medium math space, ideographic space, byte order mark
+TRIM_CODEPOINTS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0xA0, 0x1680,
+                   *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
+TRIM_SET = "".join(chr(c) for c in TRIM_CODEPOINTS)
 FEEDBACK_DESTINATIONS = ["pool", "test", "direct", "none"]
 
 # --- fixed values: requirement workflow -------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
+from cohortloom.session import ensure_checkpoint_dir
 from cohortloom.functions import dims
 from cohortloom.operators import alerts, experiment, feedback, funnel, payments, reshape, signup, workflow
 from cohortloom.sources import events as S
@@ -48,6 +49,15 @@ def signup_report(spark: SparkSession, sf_dir: str, ordered: bool = True) -> Dat
                                               ordered=ordered)
 
 
+def report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-1 report materialized once for the hand-over jobs, which read it
+    several times (days × countries rows). A reliable checkpoint in the
+    cluster's checkpoint folder cuts the lineage, so a lost executor does
+    not rerun R-1; the folder is set here only when the session has none."""
+    ensure_checkpoint_dir(spark)
+    return signup_report(spark, sf_dir, ordered=False).checkpoint(eager=True)
+
+
 @register("signup_daily")
 def q_signup_daily(spark, sf_dir):
     return signup_report(spark, sf_dir)
@@ -88,22 +98,22 @@ METHOD_START = "2024-01-10"
 
 @register("method_matrix_tall")
 def q_method_matrix_tall(spark, sf_dir):
-    return reshape.method_matrix_tall(signup_report(spark, sf_dir, ordered=False), METHOD_START)
+    return reshape.method_matrix_tall(report_table(spark, sf_dir), METHOD_START)
 
 
 @register("method_matrix_array")
 def q_method_matrix_array(spark, sf_dir):
-    return reshape.method_matrix_array(signup_report(spark, sf_dir, ordered=False), METHOD_START)
+    return reshape.method_matrix_array(report_table(spark, sf_dir), METHOD_START)
 
 
 @register("daily_totals")
 def q_daily_totals(spark, sf_dir):
-    return reshape.daily_totals(signup_report(spark, sf_dir, ordered=False))
+    return reshape.daily_totals(report_table(spark, sf_dir))
 
 
 @register("payload_json")
 def q_payload_json(spark, sf_dir):
-    return reshape.payloads(signup_report(spark, sf_dir, ordered=False), METHOD_START)
+    return reshape.payloads(report_table(spark, sf_dir), METHOD_START)
 
 
 # ---------------------------------------------------------------- R-4 .. R-6
