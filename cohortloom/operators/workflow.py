@@ -84,13 +84,20 @@ def handoff_missing(pool: DataFrame, release: DataFrame) -> DataFrame:
 
 def version_mismatch(pool: DataFrame, release: DataFrame) -> DataFrame:
     """Pool release version and release app version differ after
-    normalizing (null-safe)."""
+    normalizing (null-safe).
+
+    The release side is first reduced to its distinct versions per name
+    (lowest release id kept, rows counted), so a repeated title pairs each
+    pool row with at most its title's versions, never with every copy.
+    """
     p = pool.select("id", "title", normalize_version(F.col("release_version")).alias("pool_version"))
-    r = release.select(F.col("name").alias("title"), F.col("id").alias("release_id"),
-                       normalize_version(F.col("app_version")).alias("release_version"))
+    r = (release.select(F.col("name").alias("title"), F.col("id").alias("release_id"),
+                        normalize_version(F.col("app_version")).alias("release_version"))
+         .groupBy("title", "release_version")
+         .agg(F.min("release_id").alias("release_id"), F.count(F.lit(1)).alias("release_rows")))
     return (p.join(r, "title", "inner")
             .where(~F.col("pool_version").eqNullSafe(F.col("release_version")))
-            .select("id", "release_id", "title", "pool_version", "release_version"))
+            .select("id", "release_id", "title", "pool_version", "release_version", "release_rows"))
 
 
 def not_closed(pool: DataFrame, release: DataFrame) -> DataFrame:
@@ -166,18 +173,41 @@ def allowed_transitions(chain=None, hold: str | None = dims.RELEASE_HOLD_STATUS)
     return pairs
 
 
-def status_audit(log: DataFrame, chain=None, hold: str | None = dims.RELEASE_HOLD_STATUS) -> DataFrame:
+STATUS_BUCKET_MICROS = 86_400_000_000   # one day
+
+
+def status_changes(log: DataFrame, bucket_micros: int = STATUS_BUCKET_MICROS) -> DataFrame:
+    """Each log row with the record's previous status in (ts, seq) order.
+
+    A record's rows are split into time buckets: ``lag`` runs inside a
+    (record, bucket) window, and the first row of a bucket takes the last
+    status of the record's previous non-empty bucket, found from one
+    aggregated row per bucket (``max(struct(ts, seq, status))``, combined
+    map-side). A record holding a third of the log is thus spread over
+    its buckets instead of being sorted in one task.
+    """
+    keyed = log.withColumn("bucket", F.floor(F.col("ts") / F.lit(bucket_micros)).cast("bigint"))
+    last = (keyed.groupBy("table_name", "id", "bucket")
+            .agg(F.max(F.struct("ts", "seq", "status")).alias("last")))
+    by_bucket = Window.partitionBy("table_name", "id").orderBy("bucket")
+    carry = last.select("table_name", "id", "bucket", F.lag("last.status").over(by_bucket).alias("carry"))
+    inner = Window.partitionBy("table_name", "id", "bucket").orderBy("ts", "seq")
+    rows = keyed.select("*", F.lag("status").over(inner).alias("prev_in"), F.row_number().over(inner).alias("rn"))
+    return (rows.join(carry, ["table_name", "id", "bucket"], "inner")
+            .select("table_name", "id", "seq", "ts", "status",
+                    F.when(F.col("rn") == 1, F.col("carry")).otherwise(F.col("prev_in")).alias("prev_status")))
+
+
+def status_audit(log: DataFrame, chain=None, hold: str | None = dims.RELEASE_HOLD_STATUS,
+                 bucket_micros: int = STATUS_BUCKET_MICROS) -> DataFrame:
     """Status changes that do not move to an allowed next status.
 
-    ``lag`` per record in (ts, seq) order; an unchanged status is not a
-    change. Allowed pairs are a literal array, checked with
-    ``array_contains`` (no join).
+    An unchanged status is not a change. Allowed pairs are a literal
+    array, checked with ``array_contains`` (no join).
     """
     pairs = allowed_transitions(chain, hold)
     allowed = F.array(*[F.lit(f"{a}>{b}") for a, b in pairs])
-    w = Window.partitionBy("table_name", "id").orderBy("ts", "seq")
-    changes = (log.select("table_name", "id", "seq", "ts", "status",
-                          F.lag("status").over(w).alias("prev_status"))
+    changes = (status_changes(log, bucket_micros)
                .where(F.col("prev_status").isNotNull() & (F.col("prev_status") != F.col("status"))))
     pair = F.concat(F.col("prev_status"), F.lit(">"), F.col("status"))
     return (changes.where(~F.array_contains(allowed, pair))

@@ -112,3 +112,13 @@ def test_status_chain(spark):
         ("release", "2", "已上线", 1, 1), ("release", "2", "挂起", 2, 2)], schemas.STATUS_LOG)
     bad = [(x["id"], x["prev_status"], x["status"]) for x in workflow.status_audit(log).orderBy("id", "seq").collect()]
     assert bad == [("1", "PRD编写中", "开发中"), ("2", "已上线", "挂起")]
+
+
+def test_status_changes_same_for_any_bucket_width(spark):
+    from cohortloom.sources import fixtures as FX
+    log = FX.status_log(spark, "/root/testdata/sf0.001")
+    day = 86_400_000_000
+    base = workflow.status_changes(log, 10_000 * day).select("id", "seq", "prev_status")
+    for width in (day, 30 * day):
+        other = workflow.status_changes(log, width).select("id", "seq", "prev_status")
+        assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
