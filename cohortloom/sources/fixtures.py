@@ -96,9 +96,10 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     method_key = F.when((k % 2) == 1, F.lit("method")).otherwise(F.lit("signup_method"))
     success = _pick([_param("is_success", "true"), _param("is_success", None, 1),
                      _param("result", "success"), _param("is_success", "false")], k % 4)
+    is_signup = etype == "signup"
     params = F.array_compact(F.array(
-        F.when((k % 7) != 6, _param(method_key, method_text)),
-        success,
+        F.when(is_signup & ((k % 7) != 6), _param(method_key, method_text)),
+        F.when(is_signup, success),
         F.when(etype == "error", _param("lesson_id", None, _pick(LESSONS, k % 7))),
         F.when(etype == "click", _param("experiment", dims.EXPERIMENT)),
         F.when(etype == "click", _param("group", group_rule(uid, k))),
