@@ -23,14 +23,16 @@ def param(key: str, slot: str = "string_value", params: str | Column = "event_pa
           strict: bool = False) -> Column:
     """Value slot of the first parameter named ``key``; null if absent.
 
-    With ``strict=True`` a key given twice raises at run time, as the
-    scalar subquery form does.
+    ``array_position`` over the key field finds the first match (0 when
+    absent, so ``get`` at -1 gives null) without a lambda, so the lookup
+    stays in generated code. With ``strict=True`` a key given twice raises
+    at run time, as the scalar subquery form does.
     """
     arr = F.col(params) if isinstance(params, str) else params
-    hits = _matches(arr, key)
-    value = F.get(hits, 0)["value"][slot]
+    pos = F.array_position(arr["key"], F.lit(key))
+    value = F.get(arr, (pos - F.lit(1)).cast("int"))["value"][slot]
     if strict:
-        value = F.when(F.size(hits) > 1,
+        value = F.when(F.size(_matches(arr, key)) > 1,
                        F.raise_error(F.lit(f"event parameter '{key}' occurs more than once"))
                        ).otherwise(value)
     return value

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom import schemas
 from cohortloom.functions import dims
@@ -82,38 +83,61 @@ def group_rule(uid: Column, k: Column) -> Column:
             .when(even != flip, F.lit("A")).otherwise(F.lit("B")))
 
 
+def param_rows() -> list[tuple]:
+    """Every distinct parameter array of the test events, keyed by
+    (event_type, pk, grp): sign-up arrays repeat with k % 28 (method
+    k % 7, key k % 2, success k % 4), lesson arrays with k % 7, and
+    assignment arrays with the group. About 40 rows."""
+    success = [("is_success", ("true", None)), ("is_success", (None, 1)),
+               ("result", ("success", None)), ("is_success", ("false", None))]
+    rows = []
+    for r in range(28):
+        arr = []
+        if r % 7 != 6:
+            arr.append(("method" if r % 2 == 1 else "signup_method", (METHODS[r % 7], None)))
+        arr.append(success[r % 4])
+        rows.append(("signup", r, "", arr))
+    for r in range(7):
+        rows.append(("error", r, "", [("lesson_id", (None, LESSONS[r]))]))
+    for g in ("A", "B", dims.FALLBACK_GROUP):
+        rows.append(("click", 0, g, [("experiment", (dims.EXPERIMENT, None)), ("group", (g, None))]))
+    return rows
+
+
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` -> warehouse-shaped app events with a ``suffix`` column."""
-    ev = read_table(spark, sf_dir, "events")
+    """``events`` -> warehouse-shaped app events with a ``suffix`` column.
+
+    The parameter arrays come from a small literal dimension joined by
+    broadcast, so ``event_params`` is a plain column downstream (cheap to
+    reference, small generated code).
+    """
     k = _k()
     uid = F.col("user_id")
-    ts = F.col("ts").cast("timestamp")
     etype = F.col("event_type")
+    ev = (read_table(spark, sf_dir, "events")
+          .select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("t"),
+                  F.when(etype == "signup", k % 28).when(etype == "error", k % 7).otherwise(F.lit(0))
+                  .cast("int").alias("pk"),
+                  F.when(etype == "click", group_rule(uid, k)).otherwise(F.lit("")).alias("grp"),
+                  _pick(APP_VERSIONS, k % 3).alias("version")))
+    dim_schema = T.StructType([T.StructField("event_type", T.StringType()), T.StructField("pk", T.IntegerType()),
+                               T.StructField("grp", T.StringType()),
+                               T.StructField("event_params", T.ArrayType(schemas.EVENT_PARAM))])
+    rows = param_rows()
+    dim = F.broadcast(spark.createDataFrame(rows, dim_schema))   # ~40 literal rows
     name = None
     for src, dst in EVENT_NAMES:
         name = F.when(etype == src, F.lit(dst)) if name is None else name.when(etype == src, F.lit(dst))
-    method_text = _pick(METHODS, k % 7)
-    method_key = F.when((k % 2) == 1, F.lit("method")).otherwise(F.lit("signup_method"))
-    success = _pick([_param("is_success", "true"), _param("is_success", None, 1),
-                     _param("result", "success"), _param("is_success", "false")], k % 4)
-    is_signup = etype == "signup"
-    params = F.array_compact(F.array(
-        F.when(is_signup & ((k % 7) != 6), _param(method_key, method_text)),
-        F.when(is_signup, success),
-        F.when(etype == "error", _param("lesson_id", None, _pick(LESSONS, k % 7))),
-        F.when(etype == "click", _param("experiment", dims.EXPERIMENT)),
-        F.when(etype == "click", _param("group", group_rule(uid, k))),
-    ))
-    event_date = F.date_format(ts, "yyyyMMdd")
-    return ev.select(
+    event_date = F.date_format(F.col("t"), "yyyyMMdd")
+    return ev.join(dim, ["event_type", "pk", "grp"], "left").select(
         name.alias("event_name"),
         event_date.alias("event_date"),
-        F.unix_micros(ts).alias("event_timestamp"),
+        F.unix_micros(F.col("t")).alias("event_timestamp"),
         F.concat(F.lit("d"), uid.cast("string")).alias("user_pseudo_id"),
-        params.alias("event_params"),
+        F.coalesce(F.col("event_params"), F.array().cast(T.ArrayType(schemas.EVENT_PARAM))).alias("event_params"),
         F.struct(_pick(COUNTRIES, uid % 8).cast("string").alias("country")).alias("geo"),
         F.when((uid % 5) == 0, F.lit("IOS")).otherwise(F.lit("ANDROID")).alias("platform"),
-        F.struct(_pick(APP_VERSIONS, k % 3).alias("version")).alias("app_info"),
+        F.struct(F.col("version")).alias("app_info"),
         F.col("event_id"),
         event_date.alias(schemas.SUFFIX),
     )
