@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
-from cohortloom.session import ensure_checkpoint_dir
+from cohortloom.plans.materialize import materialize
 from cohortloom.functions import dims
 from cohortloom.operators import alerts, experiment, feedback, funnel, payments, reshape, signup, workflow
 from cohortloom.sources import events as S
@@ -51,11 +51,9 @@ def signup_report(spark: SparkSession, sf_dir: str, ordered: bool = True) -> Dat
 
 def report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R-1 report materialized once for the hand-over jobs, which read it
-    several times (days × countries rows). A reliable checkpoint in the
-    cluster's checkpoint folder cuts the lineage, so a lost executor does
-    not rerun R-1; the folder is set here only when the session has none."""
-    ensure_checkpoint_dir(spark)
-    return signup_report(spark, sf_dir, ordered=False).checkpoint(eager=True)
+    several times (days × countries rows): written as a table in the
+    cluster's checkpoint folder and read back."""
+    return materialize(signup_report(spark, sf_dir, ordered=False), "signup-report")
 
 
 @register("signup_daily")
