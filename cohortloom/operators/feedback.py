@@ -61,6 +61,27 @@ def feedback_rejected(records: DataFrame) -> DataFrame:
             .withColumn("reason", F.array_join("reasons", ",")).drop("accepted"))
 
 
+def feedback_missing_fields(records: DataFrame) -> DataFrame:
+    """Entry rule of the feedback table: content (text or an image),
+    submitter and source page must be filled. Lists what is missing per
+    record, before any default name is applied."""
+    blank = lambda c: c.isNull() | (js_trim(c) == "")
+    no_content = blank(F.col("text")) & (F.coalesce(F.size("images"), F.lit(0)) <= 0)
+    missing = F.array_compact(F.array(
+        F.when(no_content, F.lit("content")),
+        F.when(blank(F.col("name")), F.lit("submitter")),
+        F.when(blank(F.col("page")), F.lit("source")),
+    ))
+    return (records.select("*", missing.alias("missing"))
+            .where(F.size("missing") > 0)
+            .withColumn("missing", F.array_join("missing", ",")))
+
+
+def write_triage(triage: DataFrame, path: str) -> None:
+    """Three-way split of triaged feedback, one folder per destination."""
+    triage.write.mode("overwrite").partitionBy("destination").parquet(path)
+
+
 def route_checks(triage: DataFrame) -> DataFrame:
     """Routed feedback (to the pool or to testing) must carry a link to the
     requirement it became."""

@@ -154,13 +154,18 @@ def funnel_metrics(reach: DataFrame, gaps=None, groups=None, min_sample: int = d
     )
 
 
-def country_funnel(events: DataFrame, assign_events: DataFrame, steps=None, start=None, cutoff=None,
-                   platform: str | None = dims.PLATFORM, event_names=None) -> DataFrame:
+def country_funnel(events: DataFrame, assign_events: DataFrame, start, cutoff, steps=None,
+                   platform: str | None = dims.PLATFORM) -> DataFrame:
     """R-5 end to end: assignment status -> stable devices -> masks -> reach."""
     status = X.assignment_status(assign_events, start, cutoff, platform)
-    devices = device_funnel(X.stable_devices(status), step_masks(events, steps, event_names))
+    devices = device_funnel(X.stable_devices(status), step_masks(events, steps))
     return funnel_reach(devices, steps)
 
 
+def country_tab(funnel: DataFrame, tab: str = dims.ALL_COUNTRIES) -> DataFrame:
+    """One dashboard tab: "ALL" or one country code."""
+    return funnel.where(F.col("country_code") == F.lit(tab))
+
+
 def step_event_names(steps=None) -> list[str]:
     return sorted({r[3] for r in (default_steps() if steps is None else steps)})

@@ -298,3 +298,9 @@ def q_triage_counts(spark, sf_dir):
     return (feedback.route_checks(FX.feedback_triage(spark, sf_dir))
             .groupBy("destination").agg(F.count(F.lit(1)).alias("records"),
                                         F.count_if("missing_link").alias("missing_link")))
+
+
+@register("feedback_missing_fields")
+def q_feedback_missing_fields(spark, sf_dir):
+    return (feedback.feedback_missing_fields(FX.feedback_records(spark, sf_dir))
+            .select("doc_id", "missing"))
