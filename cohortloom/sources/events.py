@@ -37,10 +37,11 @@ def day_text(day) -> str:
 
 
 def _suffix_lit(value) -> Column:
+    """A literal day, or a Column (e.g. a scalar subquery) as is."""
     return F.lit(value).cast("string")
 
 
-def daily_filter(start_date, landed_max: str | None) -> Column:
+def daily_filter(start_date, landed_max: str | Column | None) -> Column:
     """Daily branch: 8-digit suffix within [start, last landed day].
 
     A null ``landed_max`` makes the comparison null, so nothing is kept:
@@ -51,7 +52,7 @@ def daily_filter(start_date, landed_max: str | None) -> Column:
             & suffix.between(_suffix_lit(day_text(start_date)), _suffix_lit(landed_max)))
 
 
-def intraday_filter(landed_max: str | None, as_of) -> Column:
+def intraday_filter(landed_max: str | Column | None, as_of) -> Column:
     """Intraday branch: after the last landed day, up to ``as_of``.
 
     There is no lower start bound and no 8-digit guard here, on purpose.
@@ -128,6 +129,13 @@ def landed_max_of(df: DataFrame) -> str | None:
     return row["m"] if row else None
 
 
+def landed_max_column(df: DataFrame) -> Column:
+    """The same as ``landed_max_of`` as a scalar subquery, evaluated inside
+    the query that uses it (no separate driver job)."""
+    return (df.select(schemas.SUFFIX).where(F.col(schemas.SUFFIX).rlike(r"^[0-9]{8}$"))
+            .select(F.max(schemas.SUFFIX)).scalar())
+
+
 def union_events(daily: DataFrame, intraday: DataFrame, start_date, landed_max: str | None,
                  as_of, event_names, extra_columns=("event_id",)) -> DataFrame:
     """Landed days plus not-yet-landed intraday days, one row set.

@@ -177,12 +177,12 @@ def speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with a page from ``pages`` -> feedback records.
 
-    The page count is one scalar resolved first; the page lookup is an
-    equi-join on ``doc_id % n_pages``.
+    The page count is a scalar subquery inside the same plan; the page
+    lookup is an equi-join on ``doc_id % n_pages``.
     """
     docs = read_table(spark, sf_dir, "documents")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    n_pages = pages.count()
+    n_pages = F.greatest(pages.select(F.count(F.lit(1))).scalar(), F.lit(1))   # scalar subquery
     did = F.col("doc_id")
     images = F.transform(F.array_repeat(F.lit(0), (did % 13).cast("int")),
                          lambda _x, i: F.concat(F.lit(IMAGE_PREFIX), F.lit("img"), did.cast("string"),
@@ -195,7 +195,7 @@ def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         images.alias("images"),
         F.col("lang").alias("context"),
         F.col("source").alias("demo"),
-        (did % F.lit(max(n_pages, 1))).alias("page_id"),
+        (did % n_pages).alias("page_id"),
     )
     return (base.join(pages, "page_id", "left")
             .select("doc_id", "name", "text", "images", "context",
@@ -296,11 +296,11 @@ def feedback_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     acc = feedback_accepted(feedback_records(spark, sf_dir))
     titles = part_titles(spark, sf_dir)
-    n_parts = titles.count()
+    n_parts = F.greatest(titles.select(F.count(F.lit(1))).scalar(), F.lit(1))   # scalar subquery
     did = F.col("doc_id")
     dest = _pick(dims.FEEDBACK_DESTINATIONS, did % 4)
     linked = dest.isin("pool", "test") & ((did % 7) != 0)
     base = acc.select("doc_id", dest.alias("destination"),
-                      F.when(linked, did % F.lit(max(n_parts, 1))).alias("p_partkey"))
+                      F.when(linked, did % n_parts).alias("p_partkey"))
     return (base.join(titles, "p_partkey", "left")
             .select("doc_id", "destination", F.col("title").alias("link")))
