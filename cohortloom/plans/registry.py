@@ -177,8 +177,8 @@ def q_event_completeness(spark, sf_dir):
     return alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, FX.FIXTURE_GAPS)
 
 
-def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = assignment_table(spark, sf_dir)
+def orders_table(spark: SparkSession, sf_dir: str, status: DataFrame | None = None) -> DataFrame:
+    status = assignment_table(spark, sf_dir) if status is None else status
     return payments.device_orders(experiment.stable_devices(status), FX.orders_prod(spark, sf_dir),
                                   FX.ASSIGN_CUTOFF)
 
@@ -200,11 +200,11 @@ def q_order_totals(spark, sf_dir):
 
 @register("verdict_state")
 def q_verdict_state(spark, sf_dir):
-    _, devices, steps = _devices(spark, sf_dir)
+    status, devices, steps = _devices(spark, sf_dir)
     gaps = FX.FIXTURE_GAPS
     metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, steps), gaps)
     completeness = alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, gaps)
-    return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir))
+    return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir, status))
 
 
 # ---------------------------------------------------------------- R-9, R-10
