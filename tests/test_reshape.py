@@ -81,3 +81,15 @@ def test_write_daily_restates_only_rerun_days(spark, report, scratch):
     back = {(r["cohort_date"].isoformat(), r["country_code"]): r["first_opens"]
             for r in spark.read.parquet(path).collect()}
     assert back[("2024-01-04", "KR")] == 3 and back[("2024-01-01", "VN")] == 5
+
+
+def test_payload_text_sink(spark, report, scratch):
+    path = os.path.join(scratch, "payload_txt")
+    files.write_payloads(reshape.payloads(report, "2024-01-03"), path)
+    lines = sorted(r["value"] for r in spark.read.text(path).collect())
+    assert lines[0] == 'const AUTH_METHOD_DATA={"VN":[[3,1,0,1,0,0,0,0],[0,0,0,0,0,0,0,0]],' \
+        '"ID":[[0,0,0,0,0,0,0,0],[0,0,0,0,0,0,0,0]],"MY":[[0,0,0,0,0,0,0,0],[0,0,0,0,0,0,0,0]],' \
+        '"SA":[[0,0,0,0,0,0,0,0],[0,0,0,0,0,0,0,0]],"TH":[[0,0,0,0,0,0,0,0],[0,0,0,0,0,0,0,0]],' \
+        '"KR":[[0,0,0,0,0,0,0,0],[2,0,0,0,0,0,0,0]],"Other":[[0,0,0,0,0,0,0,0],[0,0,0,0,0,0,0,0]]};'
+    assert lines[1] == 'const AUTH_METHOD_DAYS=["01-03","01-04*"];'
+    assert lines[2].startswith('const REG_DAILY=[{"d":"01-01","n":5,"s":2,"an":4,"as":1},')

@@ -166,3 +166,16 @@ def test_shard_scan_prunes_days(spark, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "PushedFilters" in plan and "first_open" in plan
     assert df.count() == 1
+
+
+def test_landed_max_from_catalog_partitions(spark, scratch):
+    path = os.path.join(scratch, "events_tbl")
+    df = events_df(spark, [opened("u1", day="2024-01-08"), opened("u2", day="2024-01-09")])
+    df.write.partitionBy("suffix").option("path", path).saveAsTable("cohortloom_test_events")
+    try:
+        assert S.landed_max(spark, table="cohortloom_test_events") == "20240109"
+        spark.sql("ALTER TABLE cohortloom_test_events ADD PARTITION (suffix='20240110')")   # landed, empty
+        spark.sql("ALTER TABLE cohortloom_test_events ADD PARTITION (suffix='intraday_1')")  # not a day
+        assert S.landed_max(spark, table="cohortloom_test_events") == "20240110"
+    finally:
+        spark.sql("DROP TABLE IF EXISTS cohortloom_test_events")
