@@ -211,15 +211,15 @@ def q_verdict_state(spark, sf_dir):
 @register("feedback_accepted")
 def q_feedback_accepted(spark, sf_dir):
     acc = feedback.feedback_accepted(FX.feedback_records(spark, sf_dir))
-    return acc.select("doc_id", "name", "text", F.size("images").alias("n_images"),
+    return acc.select("doc_id", "name", "text", F.size("images").cast("bigint").alias("n_images"),
                       F.to_json("images").alias("images_json"), "context", "page", "demo")
 
 
 @register("feedback_rejected")
 def q_feedback_rejected(spark, sf_dir):
     rej = feedback.feedback_rejected(FX.feedback_records(spark, sf_dir))
-    return rej.select("doc_id", "name", F.length("text").alias("text_chars"),
-                      F.size("images").alias("n_images"), "page", "reason")
+    return rej.select("doc_id", "name", F.length("text").cast("bigint").alias("text_chars"),
+                      F.size("images").cast("bigint").alias("n_images"), "page", "reason")
 
 
 @register("page_clean")

@@ -17,7 +17,7 @@ from cohortloom.session import build_session, ensure_checkpoint_dir  # noqa: E40
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", 8)
+    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cohortloom-wh-")})
     ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="cohortloom-test-ckpt-"))
     yield s
     s.stop()

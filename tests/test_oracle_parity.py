@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from tools.compare import TABLES, digest
+from tools.compare import TABLES, digest, duck_kind, spark_kind
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,6 +32,8 @@ def test_parity(spark, duck, name):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    kinds = {d[0]: duck_kind(d[1]) for d in cur.description}
+    assert {f.name: spark_kind(f.dataType) for f in df.schema.fields} == kinds
     assert len(srows) == len(orows)
     assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]
 
