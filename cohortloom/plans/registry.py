@@ -6,6 +6,7 @@ columns match the DuckDB twin in ``cohortloom.plans.oracle``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,15 @@ REGISTRY: dict[str, Job] = {}
 
 
 def register(name: str):
+    """Register a job. Dates and devices are UTC by definition, and the
+    test tables' timestamps carry no zone, so each job pins the session
+    time zone before it builds its plan (the caller's session may not)."""
     def deco(fn: Job) -> Job:
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def job(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        REGISTRY[name] = job
         return fn
     return deco
 
