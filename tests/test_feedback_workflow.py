@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.operators import feedback, workflow
