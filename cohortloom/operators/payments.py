@@ -4,7 +4,9 @@ Orders join stable devices on the device id with the time window as a
 residual condition. Both sides shuffle on the device id; a device with
 a third of all orders is split by adaptive skew-join handling (inner
 join, so either side may be split), and the per-device aggregate after
-the join combines map-side.
+the join combines map-side. The split needs both join inputs to be
+shuffle stages: pass a written device table (``plans.materialize``), not
+the assignment aggregate itself.
 """
 
 from __future__ import annotations

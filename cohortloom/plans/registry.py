@@ -186,7 +186,10 @@ def q_event_completeness(spark, sf_dir):
 
 
 def orders_table(spark: SparkSession, sf_dir: str, status: DataFrame | None = None) -> DataFrame:
-    status = assignment_table(spark, sf_dir) if status is None else status
+    """Per-device orders. The assignment table is written once first, so
+    both inputs of the orders join are fresh shuffles and adaptive
+    execution can split a device holding a large share of the orders."""
+    status = materialize(assignment_table(spark, sf_dir) if status is None else status, "assignment")
     return payments.device_orders(experiment.stable_devices(status), FX.orders_prod(spark, sf_dir),
                                   FX.ASSIGN_CUTOFF)
 

@@ -34,3 +34,44 @@ def test_funnel_masks_are_hash_aggregated(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_bit_or" in plan
+
+
+def test_hot_device_orders_join_is_split(spark, scratch):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from cohortloom.operators import payments
+    from cohortloom.plans.materialize import materialize
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ids = spark.range(60_000)
+        user = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 5000).cast("string")))
+        orders = ids.select(user.alias("user_pseudo_id"), F.col("id").alias("order_id"),
+                            (F.col("id") * 7919 % 1_000_003).alias("order_ts"), F.lit("SUCCESS").alias("status"),
+                            (F.col("id") % 997).cast("decimal(18,2)").alias("amount"))
+        stable = materialize(orders.select("user_pseudo_id").distinct()
+                             .select("user_pseudo_id", F.lit("A").alias("grp"), F.lit("VN").alias("country_code"),
+                                     F.lit(0).cast("bigint").alias("first_ts")), "test-devices")
+        df = payments.device_orders(stable, orders, "1970-01-02 00:00:00")
+        rows = {r["user_pseudo_id"]: r["orders"] for r in df.collect()}
+        assert rows["hot"] == 20_000
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
