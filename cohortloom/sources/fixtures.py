@@ -40,6 +40,26 @@ OTHER_RELEASE_TYPES = ["紧急Bug", "研发优化", "体验优化"]
 FEEDBACK_BLANK_TEXT = " \t\n "
 
 
+_PLANS: dict = {}
+
+
+def _reuse_plan(fn):
+    """Return the same DataFrame (an immutable plan, no data) for the same
+    session and table folder, so jobs that read a test table several
+    times do not rebuild its expressions on the driver."""
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, sf_dir)
+        hit = _PLANS.get(key)
+        if hit is not None and hit[0] is spark:
+            return hit[1]
+        df = fn(spark, sf_dir)
+        _PLANS[key] = (spark, df)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one test table. Each is a single small file, which Spark reads
     as one split, so all derivation work would run in one task; when the
@@ -104,6 +124,7 @@ def param_rows() -> list[tuple]:
     return rows
 
 
+@_reuse_plan
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> warehouse-shaped app events with a ``suffix`` column.
 
@@ -151,6 +172,7 @@ def intraday_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return app_events(spark, sf_dir).where(F.col(schemas.SUFFIX) >= INTRADAY_FROM)
 
 
+@_reuse_plan
 def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events -> production orders."""
     ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
@@ -164,6 +186,7 @@ def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_reuse_plan
 def speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = read_table(spark, sf_dir, "conversations")
     return conv.select(
@@ -174,6 +197,7 @@ def speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_reuse_plan
 def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with a page from ``pages`` -> feedback records.
 
@@ -202,6 +226,7 @@ def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("url").alias("page"), "demo"))
 
 
+@_reuse_plan
 def pool_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` -> requirement pool rows."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -234,6 +259,7 @@ def pool_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_reuse_plan
 def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Release table: product requirements handed over from the pool,
     plus the other three source types from ``supplier``."""
@@ -265,6 +291,7 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return handed.select(*others.columns).unionByName(others)
 
 
+@_reuse_plan
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` -> release status changes: id = customer, ts = order date,
     status = element ``o_orderkey % 8`` of the chain, ``seq`` breaks ties."""
@@ -282,12 +309,14 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIXTURE_GAPS = [("B", "1.4.2", "lesson_start")]
 
 
+@_reuse_plan
 def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return part.select("p_partkey", F.concat(F.col("p_name"), F.lit(" #"),
                                              F.col("p_partkey").cast("string")).alias("title"))
 
 
+@_reuse_plan
 def feedback_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted feedback with its triage destination and, when routed to
     the pool or to testing, the linked requirement title (missing on
