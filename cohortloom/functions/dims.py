@@ -94,8 +94,5 @@ RELEASE_HOLD_STATUS = "挂起"
 RELEASE_LIVE_STATUS = "已上线"
 RELEASE_TYPES = ["产品需求", "紧急Bug", "研发优化", "体验优化"]
 PRODUCT_REQUIREMENT = "产品需求"
-POOL_PRIORITIES = ["P0", "P1", "P2", "P3"]
-RELEASE_PRIORITIES = ["P0", "P1", "P2"]
 APP_PRODUCT = "用户端"
-BACKEND_PRODUCTS = ["官网", "配套后台", "单词管台"]
 BACKEND_VERSION_PATTERN = r"^.+-([0-9]{4}|[0-9]{4}W[0-9]{2})$"

@@ -198,17 +198,25 @@ def status_changes(log: DataFrame, bucket_micros: int = STATUS_BUCKET_MICROS) ->
                     F.when(F.col("rn") == 1, F.col("carry")).otherwise(F.col("prev_in")).alias("prev_status")))
 
 
-def status_audit(log: DataFrame, chain=None, hold: str | None = dims.RELEASE_HOLD_STATUS,
+def default_chains() -> dict:
+    """Status chain (and hold status) per table of the workflow."""
+    return {"release": (dims.RELEASE_STATUS_CHAIN, dims.RELEASE_HOLD_STATUS),
+            "pool": (dims.POOL_STATUS_CHAIN, None)}
+
+
+def status_audit(log: DataFrame, chains: dict | None = None,
                  bucket_micros: int = STATUS_BUCKET_MICROS) -> DataFrame:
-    """Status changes that do not move to an allowed next status.
+    """Status changes that do not move to an allowed next status of the
+    row's own table (release or pool chain).
 
     An unchanged status is not a change. Allowed pairs are a literal
-    array, checked with ``array_contains`` (no join).
+    array of ``table:prev>next`` texts, checked with ``array_contains``
+    (no join).
     """
-    pairs = allowed_transitions(chain, hold)
-    allowed = F.array(*[F.lit(f"{a}>{b}") for a, b in pairs])
+    allowed = F.array(*[F.lit(f"{t}:{a}>{b}") for t, (chain, hold) in (chains or default_chains()).items()
+                        for a, b in allowed_transitions(chain, hold)])
     changes = (status_changes(log, bucket_micros)
                .where(F.col("prev_status").isNotNull() & (F.col("prev_status") != F.col("status"))))
-    pair = F.concat(F.col("prev_status"), F.lit(">"), F.col("status"))
+    pair = F.concat(F.col("table_name"), F.lit(":"), F.col("prev_status"), F.lit(">"), F.col("status"))
     return (changes.where(~F.array_contains(allowed, pair))
             .select("table_name", "id", "seq", "prev_status", "status"))

@@ -121,3 +121,11 @@ def test_status_changes_same_for_any_bucket_width(spark):
     for width in (day, 30 * day):
         other = workflow.status_changes(log, width).select("id", "seq", "prev_status")
         assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
+
+
+def test_pool_rows_use_the_pool_chain(spark):
+    log = spark.createDataFrame([
+        ("pool", "7", "未启动", 1, 1), ("pool", "7", "产品设计中", 2, 2), ("pool", "7", "排期中", 3, 3),
+        ("pool", "8", "排期中", 1, 1), ("pool", "8", "挂起", 2, 2)], schemas.STATUS_LOG)
+    bad = [(x["id"], x["prev_status"], x["status"]) for x in workflow.status_audit(log).orderBy("id", "seq").collect()]
+    assert bad == [("7", "产品设计中", "排期中"), ("8", "排期中", "挂起")]
