@@ -293,17 +293,32 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_reuse_plan
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` -> release status changes: id = customer, ts = order date,
-    status = element ``o_orderkey % 8`` of the chain, ``seq`` breaks ties."""
+    """Status changes of both workflow tables.
+
+    Release rows from ``orders``: id = customer, ts = order date, status =
+    element ``o_orderkey % 8`` of the release chain (plus hold), ``seq``
+    breaks ties. Pool rows from ``lineitem``: id = part, ts = ship date,
+    status = element ``(l_orderkey + l_linenumber) % 7`` of the pool chain,
+    ``seq = l_orderkey * 10 + l_linenumber``.
+    """
     orders = read_table(spark, sf_dir, "orders")
     chain = dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS]
-    return orders.select(
+    release = orders.select(
         F.lit("release").alias("table_name"),
         F.col("o_custkey").cast("string").alias("id"),
         _pick(chain, F.col("o_orderkey") % 8).alias("status"),
         F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("ts"),
         F.col("o_orderkey").alias("seq"),
     )
+    items = read_table(spark, sf_dir, "lineitem")
+    pool = items.select(
+        F.lit("pool").alias("table_name"),
+        F.col("l_partkey").cast("string").alias("id"),
+        _pick(dims.POOL_STATUS_CHAIN, (F.col("l_orderkey") + F.col("l_linenumber")) % 7).alias("status"),
+        F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+    )
+    return release.unionByName(pool)
 
 # known gap used on the test tables so the flag has rows to mark
 FIXTURE_GAPS = [("B", "1.4.2", "lesson_start")]
