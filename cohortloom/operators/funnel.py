@@ -162,6 +162,32 @@ def country_funnel(events: DataFrame, assign_events: DataFrame, start, cutoff, s
     return funnel_reach(devices, steps)
 
 
+def funnel_by_country(reach: DataFrame, groups=None) -> DataFrame:
+    """The dashboard table: per country tab and step, A and B side by side
+    (conditional sums over the small reach table, one row per step)."""
+    gs = list(groups or dims.GROUPS)
+    cols = []
+    for g in gs:
+        for c in ("assigned", "reached", "hit"):
+            cols.append(F.sum(F.when(F.col("grp") == F.lit(g), F.col(c))).alias(f"{c}_{g.lower()}"))
+    return reach.groupBy("country_code", "step_no").agg(*cols)
+
+
+def lesson_reach(events: DataFrame, stable: DataFrame, lessons=None) -> DataFrame:
+    """Devices per group and first-lesson id: stable devices with a lesson
+    event for one of their group's lessons. (device, lesson) pairs are
+    made distinct first, which combines map-side, then joined to devices."""
+    ls = lessons or {"A": dims.LESSONS_A, "B": dims.LESSONS_B}
+    pairs = (events.where(F.col("event_name") == dims.LESSON_EVENT)
+             .select("user_pseudo_id", P.param("lesson_id", "int_value").alias("lesson_id"))
+             .where(F.col("lesson_id").isNotNull())
+             .distinct())
+    allowed = F.array(*[F.lit(f"{g}:{x}") for g, xs in ls.items() for x in xs])
+    return (pairs.join(stable.select("user_pseudo_id", "grp"), "user_pseudo_id", "inner")
+            .where(F.array_contains(allowed, F.concat(F.col("grp"), F.lit(":"), F.col("lesson_id").cast("string"))))
+            .groupBy("grp", "lesson_id").agg(F.count(F.lit(1)).alias("devices")))
+
+
 def country_tab(funnel: DataFrame, tab: str = dims.ALL_COUNTRIES) -> DataFrame:
     """One dashboard tab: "ALL" or one country code."""
     return funnel.where(F.col("country_code") == F.lit(tab))

@@ -316,3 +316,47 @@ def q_triage_counts(spark, sf_dir):
 def q_feedback_missing_fields(spark, sf_dir):
     return (feedback.feedback_missing_fields(FX.feedback_records(spark, sf_dir))
             .select("doc_id", "missing"))
+
+
+# ---------------------------------------------------------------- further keys of the build plan
+@register("country_map")
+def q_country_map(spark, sf_dir):
+    """The report's country map applied to first opens: devices per
+    (country name, code)."""
+    return (signup.first_open(_union(spark, sf_dir))
+            .groupBy("country", "country_code").agg(F.count(F.lit(1)).alias("devices")))
+
+
+@register("rate")
+def q_rate(spark, sf_dir):
+    return signup_report(spark, sf_dir, ordered=False).select(
+        "cohort_date", "country_code", "first_opens", "registered", "registered_rate")
+
+
+@register("first_country")
+def q_first_country(spark, sf_dir):
+    return experiment.stable_devices(assignment_table(spark, sf_dir)).select(
+        "user_pseudo_id", "grp", "stable_ts", "country", "country_code")
+
+
+@register("fallback_share")
+def q_fallback_share(spark, sf_dir):
+    return experiment.health_counts(assignment_table(spark, sf_dir)).select(
+        "assigned", "fallbacks", "fallback_share", "fallback_alert")
+
+
+@register("funnel_by_country")
+def q_funnel_by_country(spark, sf_dir):
+    return funnel.funnel_by_country(funnel_table(spark, sf_dir))
+
+
+@register("lesson_reach")
+def q_lesson_reach(spark, sf_dir):
+    status = assignment_table(spark, sf_dir)
+    return funnel.lesson_reach(FX.app_events(spark, sf_dir), experiment.stable_devices(status))
+
+
+@register("gap_flagged")
+def q_gap_flagged(spark, sf_dir):
+    m = funnel.funnel_metrics(funnel_table(spark, sf_dir), FX.FIXTURE_GAPS)
+    return m.where(F.col("is_known_gap")).select("grp", "country_code", "step_no", "step", "reached", "step_rate")
