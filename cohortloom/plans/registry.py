@@ -157,9 +157,13 @@ def q_funnel_metrics(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- R-7, R-8
-def _devices(spark: SparkSession, sf_dir: str):
+def _devices(spark: SparkSession, sf_dir: str, written: bool = False):
+    """Assignment status and funnel devices; with ``written`` the status
+    table is written once and every branch reads it."""
     ev = FX.app_events(spark, sf_dir)
     status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
+    if written:
+        status = materialize(status, "assignment")
     return status, funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev)), None
 
 
@@ -186,10 +190,12 @@ def q_event_completeness(spark, sf_dir):
 
 
 def orders_table(spark: SparkSession, sf_dir: str, status: DataFrame | None = None) -> DataFrame:
-    """Per-device orders. The assignment table is written once first, so
-    both inputs of the orders join are fresh shuffles and adaptive
-    execution can split a device holding a large share of the orders."""
-    status = materialize(assignment_table(spark, sf_dir) if status is None else status, "assignment")
+    """Per-device orders. The assignment table is written once first (pass
+    it when already written), so both inputs of the orders join are fresh
+    shuffles and adaptive execution can split a device holding a large
+    share of the orders."""
+    if status is None:
+        status = materialize(assignment_table(spark, sf_dir), "assignment")
     return payments.device_orders(experiment.stable_devices(status), FX.orders_prod(spark, sf_dir),
                                   FX.ASSIGN_CUTOFF)
 
@@ -211,7 +217,7 @@ def q_order_totals(spark, sf_dir):
 
 @register("verdict_state")
 def q_verdict_state(spark, sf_dir):
-    status, devices, steps = _devices(spark, sf_dir)
+    status, devices, steps = _devices(spark, sf_dir, written=True)
     gaps = FX.FIXTURE_GAPS
     metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, steps), gaps)
     completeness = alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, gaps)
