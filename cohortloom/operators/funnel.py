@@ -169,7 +169,9 @@ def funnel_by_country(reach: DataFrame, groups=None) -> DataFrame:
     cols = []
     for g in gs:
         for c in ("assigned", "reached", "hit"):
-            cols.append(F.sum(F.when(F.col("grp") == F.lit(g), F.col(c))).alias(f"{c}_{g.lower()}"))
+            # a group without devices in a country counts 0
+            cols.append(F.coalesce(F.sum(F.when(F.col("grp") == F.lit(g), F.col(c))), F.lit(0).cast("bigint"))
+                        .alias(f"{c}_{g.lower()}"))
     return reach.groupBy("country_code", "step_no").agg(*cols)
 
 

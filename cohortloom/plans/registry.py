@@ -153,7 +153,10 @@ def q_funnel_reach(spark, sf_dir):
 
 @register("funnel_metrics")
 def q_funnel_metrics(spark, sf_dir):
-    return funnel.funnel_metrics(funnel_table(spark, sf_dir), FX.FIXTURE_GAPS)
+    m = funnel.funnel_metrics(funnel_table(spark, sf_dir), FX.FIXTURE_GAPS)
+    # null at step 1 (no previous step); as double the view reads the same in any client
+    return m.withColumn("prev_reached", F.col("prev_reached").cast("double")) \
+            .withColumn("step_loss", F.col("step_loss").cast("double"))
 
 
 # ---------------------------------------------------------------- R-7, R-8
@@ -200,9 +203,15 @@ def orders_table(spark: SparkSession, sf_dir: str, status: DataFrame | None = No
                                   FX.ASSIGN_CUTOFF)
 
 
+def _money_as_double(df: DataFrame, *cols: str) -> DataFrame:
+    """Registered views present money as double (exact cast of the decimal
+    sums), which reads the same from Spark and DuckDB in any client."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 @register("orders_7d")
 def q_orders_7d(spark, sf_dir):
-    return orders_table(spark, sf_dir)
+    return _money_as_double(orders_table(spark, sf_dir), "revenue_7d", "revenue")
 
 
 @register("mature_rate")
@@ -212,7 +221,7 @@ def q_mature_rate(spark, sf_dir):
 
 @register("order_totals")
 def q_order_totals(spark, sf_dir):
-    return payments.order_totals(orders_table(spark, sf_dir))
+    return _money_as_double(payments.order_totals(orders_table(spark, sf_dir)), "revenue")
 
 
 @register("verdict_state")
@@ -268,7 +277,8 @@ RELEASE_VERSION = "1.3.0"
 
 @register("pool_to_release")
 def q_pool_to_release(spark, sf_dir):
-    return workflow.pool_to_release(workflow.pool_clean(FX.pool_table(spark, sf_dir)))
+    # execution dates are empty at hand-over; the view leaves them out
+    return workflow.pool_to_release(workflow.pool_clean(FX.pool_table(spark, sf_dir))).drop("submit_date", "release_date")
 
 
 @register("handoff_missing")

@@ -1,0 +1,37 @@
+"""Second parity check through pandas: a plain default session, the entry
+module loaded by file path, Spark ``toPandas`` against DuckDB ``.df()``,
+values normalized to text. Catches results that are equal as Python
+values but read differently through pandas (nullable ints, decimals,
+null dates).
+
+usage: python tools/pandas_check.py
+"""
+import importlib.util, hashlib, math
+spec = importlib.util.spec_from_file_location("__spark_entry__", "/root/repo/__spark_entry__.py")
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+import duckdb
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").getOrCreate()
+sf = "/root/testdata/sf0.01"
+con = duckdb.connect()
+for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+    con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+def h(df):
+    cols = sorted(df.columns); df = df[cols]
+    def n(v):
+        if v is None or (isinstance(v, float) and math.isnan(v)): return "N"
+        if isinstance(v, float): return f"{v:.6f}"
+        if hasattr(v, "tolist"): v = v.tolist()
+        if isinstance(v, (list, tuple)): return "[" + ",".join(n(x) for x in v) + "]"
+        s = str(v)
+        return s[:-9] if s.endswith(" 00:00:00") else s
+    rows = sorted("|".join(n(v) for v in r) for r in df.itertuples(index=False, name=None))
+    return hashlib.md5("\n".join(rows).encode()).hexdigest(), cols, len(rows)
+bad = 0
+q, o = m.queries(), m.oracle_sql()
+for name in q:
+    s = h(q[name](spark, sf).toPandas())
+    d = h(con.execute(o[name]).df())
+    if s != d:
+        bad += 1; print("MISMATCH", name, s[1:], d[1:])
+print("checked", len(q), "mismatches", bad)
