@@ -129,3 +129,16 @@ def test_pool_rows_use_the_pool_chain(spark):
         ("pool", "8", "排期中", 1, 1), ("pool", "8", "挂起", 2, 2)], schemas.STATUS_LOG)
     bad = [(x["id"], x["prev_status"], x["status"]) for x in workflow.status_audit(log).orderBy("id", "seq").collect()]
     assert bad == [("7", "产品设计中", "排期中"), ("8", "排期中", "挂起")]
+
+
+def test_hot_cells_are_split_and_give_the_same_lag(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from cohortloom.sources import fixtures as FX
+    log = FX.status_log(spark, "/root/testdata/sf0.001")
+    w = Window.partitionBy("table_name", "id").orderBy("ts", "seq")
+    plain = log.select("table_name", "id", "seq", F.lag("status").over(w).alias("prev_status"))
+    split = workflow.status_changes(log, hot_rows=1, hot_split_micros=3_600_000_000) \
+        .select("table_name", "id", "seq", "prev_status")
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
