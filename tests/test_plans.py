@@ -75,3 +75,23 @@ def test_hot_device_orders_join_is_split(spark, scratch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_broadcast_only_behind_a_size_bound(spark):
+    from cohortloom.plans.broadcast import bounded_broadcast, dimension
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(1000)
+
+        def physical(df):
+            return df._jdf.queryExecution().executedPlan().toString()
+        small_side = bounded_broadcast(spark.range(5), 10)
+        large_side = bounded_broadcast(spark.range(50), 10)
+        assert "BroadcastHashJoin" in physical(big.join(small_side, "id"))
+        assert "BroadcastHashJoin" not in physical(big.join(large_side, "id"))
+        dim = dimension(spark, [(1, "a"), (2, "b")], "id long, v string")
+        assert "BroadcastHashJoin" in physical(big.join(dim, "id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
