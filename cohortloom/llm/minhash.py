@@ -12,14 +12,17 @@ Steps
     are packed as eight longs (two per bit plane) and kept as signature.
  2. Documents with equal sets form one class (128-bit set hash); only
     classes go on, so copies cost one row each.
- 3. Star pass: inside a band bucket every class is paired with the least
-    class only. Pairs whose collision-corrected similarity (bit counts of
-    the xor-ed planes) is clearly below the threshold are dropped, the rest
-    is confirmed on the full sets. Components of these links are found.
+ 3. Star pass: inside a band bucket every class is paired with one centre
+    only, the class with most bucket neighbours over all bands. Pairs whose
+    collision-corrected similarity (bit counts of the xor-ed planes) is
+    clearly below the threshold are dropped, the rest is confirmed on the
+    full sets. Components of these links are found.
  4. Rest pass: buckets that still hold several components are joined with
-    themselves, for members of different components only and with size and
-    signature tests inside the join, so no true link between components is
-    lost and a bucket of copies never becomes all its pairs.
+    themselves, for members of different components only. The join itself
+    tests size, signature, and a finer signature of 2,048 minima that only
+    these classes get, so no true link between components is lost and a
+    bucket of copies never becomes all its pairs. What passes is confirmed
+    on the full sets.
 
 At similarity 0.8 a pair misses all 32 bands with probability 5e-8; the
 signature test cuts 4.9 standard errors below the threshold.
@@ -41,9 +44,11 @@ from cohortloom.llm import common as C
 
 #: Minima and bands for whole documents; at most HASHES and BANDS of them.
 HASHES, BANDS, BITS, ROWS = 128, 32, 4, 4
+#: Minima and bits of the fine signature that stands before the full sets.
+FINE, FINE_BITS = 2048, 2
 _rng = np.random.default_rng(7919)
-_XOR = _rng.integers(0, 2**64, HASHES, dtype=np.uint64)
-_MUL = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(0, 2**64, FINE, dtype=np.uint64)
+_MUL = _rng.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = _rng.integers(0, 2**64, BANDS, dtype=np.uint64)
 _U = np.uint64
 
@@ -74,6 +79,12 @@ def _minima(u, off, hashes):
     return out
 
 
+def _packed(low, bits):
+    """The low bits of the minima, one row of longs per plane and document."""
+    return np.concatenate([np.packbits(np.ascontiguousarray(((low >> _U(j)) & _U(1)).astype(np.uint8).T), axis=1).view(np.int64)
+                           for j in range(bits)], axis=1)
+
+
 def _signatures(k, bands_used):
     hashes = bands_used * ROWS
     half = hashes // 64
@@ -91,9 +102,7 @@ def _signatures(k, bands_used):
                 if len(at):
                     cls[full] = _class(u, at).view(np.uint8).reshape(-1, 16)
                     low = _minima(u, at, hashes)
-                    packed = [np.packbits(np.ascontiguousarray(((low >> _U(j)) & _U(1)).astype(np.uint8).T), axis=1).view(np.int64)
-                              for j in range(BITS)]
-                    planes[full] = np.concatenate(packed, axis=1)
+                    planes[full] = _packed(low, BITS)
                     key = low.reshape(bands_used, ROWS, -1)
                     x = key[:, 0]
                     for r in range(1, ROWS):
@@ -110,7 +119,7 @@ def _signatures(k, bands_used):
     return run
 
 
-def _full_sets(k):
+def _full_sets(k, with_fine):
     def run(batches):
         for batch in batches:
             for a, b, u, off in _sets(batch.column(0), k):
@@ -120,10 +129,15 @@ def _full_sets(k):
                     continue
                 at = off[:-1][full]
                 cls = _class(u, at).view(np.uint8).reshape(-1, 16)
+                # a few documents at a time, so their minima stay small
+                fine = np.zeros((len(at), 0), np.int64) if not with_fine else np.concatenate([_packed(_minima(u[at[i]:at[i + 64] if i + 64 < len(at) else None], at[i:i + 64] - at[i], FINE), FINE_BITS)
+                                       for i in range(0, len(at), 64)])
+                width = fine.shape[1]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([c.tobytes() for c in cls], pa.binary()),
+                    pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * width, fine.ravel()),
                     pa.array([u[x:x + y].tobytes() for x, y in zip(at, n[full])], pa.binary()),
-                ], names=["cls", "members"])
+                ], names=["cls", "fine", "members"])
     return run
 
 
@@ -141,18 +155,25 @@ def _confirm(percent):
     return run
 
 
-def _estimate(x: str, y: str, hashes: int):
+def _estimate(x: str, y: str, hashes: int, bits: int = BITS):
     """Collision-corrected similarity of two packed signatures."""
     apart, parts = F.lit(0), hashes // 64
     for part in range(parts):
         differ = F.lit(0).cast("long")
-        for j in range(BITS):
+        for j in range(bits):
             differ = differ.bitwiseOR(F.col(x)[parts * j + part].bitwiseXOR(F.col(y)[parts * j + part]))
         apart = apart + F.bit_count(differ)
-    chance = 2.0**-BITS
+    chance = 2.0**-bits
     return ((hashes - apart) / F.lit(float(hashes)) - chance) / (1 - chance)
 
 
+def _cut(percent: int, hashes: int, bits: int = BITS) -> float:
+    """What an estimate must reach: 4.9 standard errors below the threshold."""
+    chance = 2.0**-bits
+    equal = chance + (1 - chance) * percent / 100
+    return percent / 100 - 4.9 * (equal * (1 - equal) / hashes)**0.5 / (1 - chance)
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
           percent: int = 80, bands: int = BANDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, classes, links between classes).
@@ -176,44 +197,50 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
                    .groupBy("cls").agg(F.min(first).alias("x"))
                    .select("cls", "x.doc_id", "x.n_shingles", "x.planes", "x.bands"))
     entry = reps.select("cls", F.posexplode("bands").alias("band", "key"))
-    shared = (entry.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("cls").alias("head"))
-              .where("n > 1").drop("n"))
+    shared = entry.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = C.saved(entry.join(shared, ["band", "key"]))
-    error = (chance := 2.0**-BITS + (1 - 2.0**-BITS) * percent / 100) * (1 - chance) / hashes
-    tight = percent / 100 - 4.9 * error**0.5 / (1 - 2.0**-BITS)
+    # the star's centre is the member with most neighbours over all bands: the text that others were made from
+    degree = members.groupBy("cls").agg(F.sum("n").alias("degree"))
+    central = members.join(degree, "cls").groupBy("band", "key").agg(F.min(F.struct(-F.col("degree"), "cls")).alias("x"))
+    members = C.saved(members.drop("n").join(central.select("band", "key", F.col("x.cls").alias("head")), ["band", "key"]))
 
-    def confirmed(pairs):
-        """Pairs (a, b) that hold on the full sets."""
-        pairs = C.saved(pairs)
-        need = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    def full_sets(need, fine):
+        """cls, fine signature, members of the classes in ``need``."""
         ids = need.join(classes, "cls").select("doc_id").distinct()
-        sets = (read.join(ids, "doc_id", "left_semi").select("text")
-                .mapInArrow(_full_sets(shingle), "cls binary, members binary")
-                .join(need, "cls", "left_semi").dropDuplicates(["cls"]))
-        sets = C.saved(sets)
+        return C.saved(read.join(ids, "doc_id", "left_semi").select("text")
+                       .mapInArrow(_full_sets(shingle, fine), "cls binary, fine array<bigint>, members binary")
+                       .join(need, "cls", "left_semi").dropDuplicates(["cls"]))
+
+    def confirmed(pairs, sets):
+        """Pairs (a, b) that hold on the full sets."""
         both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("one")), "a")
-                .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("two")), "b")
-                .select("a", "b", "one", "two"))
+                .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("two")), "b").select("a", "b", "one", "two"))
         return C.saved(both.mapInArrow(_confirm(percent), "a binary, b binary"))
 
+    def alike():
+        return ((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+                & (_estimate("pa", "pb", hashes) >= _cut(percent, hashes)))
+
     thin = reps.select("cls", "n_shingles", "planes")
     star = members.where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-    star = (star.join(thin.toDF("a", "na", "pa"), "a").join(thin.toDF("b", "nb", "pb"), "b")
-            .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                   & (_estimate("pa", "pb", hashes) >= tight)).select("a", "b"))
-    found = confirmed(star)
+    star = C.saved(star.join(thin.toDF("a", "na", "pa"), "a").join(thin.toDF("b", "nb", "pb"), "b").where(alike()).select("a", "b"))
+    tried = star.select(F.col("a").alias("cls")).union(star.select(F.col("b").alias("cls"))).distinct()
+    found = confirmed(star, full_sets(tried, False))
 
     root = C.components(found)
     placed = members.join(root.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = (placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
              .where("lo <> hi and n > 2").select("band", "key"))
-    rest = C.saved(placed.join(mixed, ["band", "key"]).where("cls <> head").join(thin, "cls"))
-    x = rest.select("band", "key", F.col("cls").alias("a"), F.col("root").alias("ra"), F.col("n_shingles").alias("na"), F.col("planes").alias("pa"))
-    y = rest.select("band", "key", F.col("cls").alias("b"), F.col("root").alias("rb"), F.col("n_shingles").alias("nb"), F.col("planes").alias("pb"))
-    pairs = (x.join(y, (x.band == y.band) & (x.key == y.key) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-                    & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                    & (_estimate("pa", "pb", hashes) >= tight)).select("a", "b").distinct())
-    return documents, classes, found.union(confirmed(pairs))
+    rest = C.saved(placed.join(mixed, ["band", "key"]).where("cls <> head").select("band", "key", "cls", "root"))
+    sets = full_sets(rest.select("cls").distinct(), True)
+    wide = rest.join(reps.drop("doc_id"), "cls").join(sets.select("cls", "fine"), "cls")
+    x, y = (wide.select("band", "key", F.col("cls").alias(m), F.col("root").alias("r" + m), F.col("n_shingles").alias("n" + m),
+                        F.col("planes").alias("p" + m), F.col("bands").alias("k" + m), F.col("fine").alias("f" + m)) for m in "ab")
+    # a pair counts in the first band it shares only
+    earlier = F.exists(F.arrays_zip(F.slice("ka", 1, x.band).alias("l"), F.slice("kb", 1, x.band).alias("r")), lambda z: z["l"] == z["r"])
+    pairs = x.join(y, (x.band == y.band) & (x.key == y.key) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
+                   & alike() & (_estimate("fa", "fb", FINE, FINE_BITS) >= _cut(percent, FINE, FINE_BITS)) & ~earlier)
+    return documents, classes, found.union(confirmed(C.saved(pairs.select("a", "b")), sets))
 
 
 def _grouped(read: DataFrame, shingle: int, percent: int) -> DataFrame:
