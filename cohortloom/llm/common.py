@@ -176,6 +176,29 @@ def shingles(h: np.ndarray, woff: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return out, off
 
 
+# --- bit filters -----------------------------------------------------------
+
+def bit_filter(df: DataFrame, key: str, bits: int) -> np.ndarray:
+    """Words of a 2^bits filter over the low bits of a long column.
+
+    At most 2^(bits - 6) numbers reach the driver, whatever the input. A
+    filter only spares rows a shuffle; an exact join always follows it.
+    """
+    low = df.select(F.col(key).bitwiseAND(F.lit((1 << bits) - 1)).alias("bit"))
+    rows = (low.groupBy(F.shiftright("bit", 6).alias("word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("set")).collect())
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    for r in rows:
+        out[r["word"]] = r["set"] & (2**64 - 1)
+    return out
+
+
+def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which unsigned keys may be in the filter."""
+    low = keys.astype(np.uint64) & _U(64 * len(words) - 1)
+    return (words[low >> _U(6)] >> (low & _U(63))) & _U(1) == 1
+
+
 # --- connected components -------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:

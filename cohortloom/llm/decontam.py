@@ -65,27 +65,14 @@ def _seeds(batches):
                 names=["item_id", "seed", "at"])
 
 
-def _filter(df: DataFrame, key: str) -> np.ndarray:
-    """Bit filter of a long column: 2^22 bits at most reach the driver."""
-    words = df.select((F.col(key).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("bit"))
-    rows = (words.groupBy(F.shiftright("bit", 6).alias("word"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).collect())
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    for r in rows:
-        out[r["word"]] = r["bits"] & (2**64 - 1)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
-
-
 def _places(bits):
-    low = np.uint64((1 << FILTER_BITS) - 1)
-
     def run(batches):
         for batch in batches:
             data, off = C.text_bytes(batch.column(1))
             for a, b in C.row_chunks(off):
                 _, _, h, woff = C.words(data[off[a]:off[b]], off[a:b + 1] - off[a], C.PLAIN_WORDS)
                 s, soff = C.shingles(h, woff, SEED)
-                at = np.flatnonzero(bits[s & low])
+                at = np.flatnonzero(C.in_filter(bits, s))
                 row = np.searchsorted(soff, at, "right") - 1
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(a + row)), pa.array(s[at].view(np.int64)), pa.array((at - soff[row]).astype(np.int32))],
@@ -94,12 +81,10 @@ def _places(bits):
 
 
 def _chosen_words(bits):
-    low = (1 << FILTER_BITS) - 1
-
     def run(batches):
         for batch in batches:
             tag = np.frombuffer(b"".join(k[:4] for k in batch.column(0).to_pylist()), ">u4")
-            on = np.flatnonzero(bits[tag & low])
+            on = np.flatnonzero(C.in_filter(bits, tag))
             part = batch.take(pa.array(on))
             for out in _word_rows(C.PLAIN_WORDS)([part]):
                 yield out.rename_columns(["text_key", "words"])
@@ -147,7 +132,7 @@ def leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: s
     items = bench.select(F.col(item_col).cast("long").alias("item_id"), F.lower(F.col(item_text).cast("string")).alias("text")).where("item_id is not null").distinct()
     items = C.saved(items.mapInArrow(_word_rows(C.PLAIN_WORDS), "item_id long, words binary").where(F.octet_length("words") >= 8 * MIN_ITEM))
     seeds = C.saved(items.mapInArrow(_seeds, "item_id long, seed long, at int"))
-    known = _filter(seeds, "seed")
+    known = C.bit_filter(seeds, "seed", FILTER_BITS)
     texts = docs.select(_text_key(text_col).alias("text_key"), F.lower(F.col(text_col).cast("string")).alias("text")).where("text is not null")
     places = texts.mapInArrow(_places(known), "text_key binary, seed long, at int").distinct()
     places = C.saved(places.join(seeds.select("seed").distinct(), "seed"))
@@ -167,7 +152,7 @@ def leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: s
                       .select("text_key", "item_id", F.greatest(F.lit(0), F.col("d0") - DIAGONAL).cast("int").alias("first"),
                               (F.col("d1") + F.col("n") + DIAGONAL).cast("int").alias("stop")).distinct())
     keys = windows.select("text_key").distinct()
-    wanted = _filter(keys.select(_tag("text_key").alias("tag")), "tag")
+    wanted = C.bit_filter(keys.select(_tag("text_key").alias("tag")), "tag", FILTER_BITS)
     chosen = texts.mapInArrow(_chosen_words(wanted), "text_key binary, words binary")
     chosen = chosen.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.first("words").alias("words"))
     pairs = (windows.join(chosen, "text_key").join(size.drop("n"), "item_id")

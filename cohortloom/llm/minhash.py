@@ -46,6 +46,8 @@ from cohortloom.llm import common as C
 HASHES, BANDS, BITS, ROWS = 128, 32, 4, 4
 #: Minima and bits of the fine signature that stands before the full sets.
 FINE, FINE_BITS = 2048, 2
+#: Size of the filter that finds candidates' texts: 2 MB.
+FILTER_BITS = 24
 _rng = np.random.default_rng(7919)
 _XOR = _rng.integers(0, 2**64, FINE, dtype=np.uint64)
 _MUL = _rng.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,10 +121,11 @@ def _signatures(k, bands_used):
     return run
 
 
-def _full_sets(k, with_fine):
+def _full_sets(k, with_fine, wanted):
     def run(batches):
         for batch in batches:
-            for a, b, u, off in _sets(batch.column(0), k):
+            asked = C.in_filter(wanted, batch.column(0).to_numpy().view(np.uint64))
+            for a, b, u, off in _sets(batch.column(1).filter(pa.array(asked)), k):
                 n = np.diff(off)
                 full = np.flatnonzero(n > 0)
                 if not len(full):
@@ -188,14 +191,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     kind = read.schema["doc_id"].dataType.simpleString()
     sigs = C.saved(read.mapInArrow(_signatures(shingle, bands), f"doc_id {kind}, {_SIG}"))
     documents = sigs.select("doc_id", "n_shingles", "cls")
-    own = (sigs.where("cls is not null and doc_id is not null").groupBy("cls")
-           .agg(F.min("doc_id").alias("doc_id")))
-    classes = C.saved(own)
     first = F.struct("doc_id", "n_shingles", "planes", "bands")
-    reps = C.saved(sigs.where("cls is not null and doc_id is not null")
-                   .join(classes, ["cls", "doc_id"], "left_semi")
-                   .groupBy("cls").agg(F.min(first).alias("x"))
+    reps = C.saved(sigs.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min(first).alias("x"))
                    .select("cls", "x.doc_id", "x.n_shingles", "x.planes", "x.bands"))
+    classes = reps.select("cls", "doc_id")
     entry = reps.select("cls", F.posexplode("bands").alias("band", "key"))
     shared = entry.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = C.saved(entry.join(shared, ["band", "key"]))
@@ -206,9 +205,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
     def full_sets(need, fine):
         """cls, fine signature, members of the classes in ``need``."""
-        ids = need.join(classes, "cls").select("doc_id").distinct()
-        return C.saved(read.join(ids, "doc_id", "left_semi").select("text")
-                       .mapInArrow(_full_sets(shingle, fine), "cls binary, fine array<bigint>, members binary")
+        ids = need.join(classes, "cls").select(F.xxhash64("doc_id").alias("tag"))
+        wanted = C.bit_filter(ids, "tag", FILTER_BITS)  # most texts stay where they are
+        return C.saved(read.where("doc_id is not null").select(F.xxhash64("doc_id").alias("tag"), "text")
+                       .mapInArrow(_full_sets(shingle, fine, wanted), "cls binary, fine array<bigint>, members binary")
                        .join(need, "cls", "left_semi").dropDuplicates(["cls"]))
 
     def confirmed(pairs, sets):
