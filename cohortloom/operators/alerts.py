@@ -1,9 +1,9 @@
 """R-7: data-quality alerts.
 
-Zero hours never appear in event data, so zero runs need an hour grid:
-each key explodes ``sequence(first hour, last hour)`` of the run (keys ×
-hours rows, bounded by the calendar), is left-joined to hourly counts,
-and runs of zero hours are found as gaps-and-islands with windows per key.
+Zero hours never appear in event data. A zero run is the gap between two
+neighbouring hours with events, or between the first or last of them and
+the edges of the period: ``lag(hour)`` per key over the hourly counts and
+one closing row per key, no hour grid.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import dims
 from cohortloom.functions import params as P
+from cohortloom.operators import experiment as X
 from cohortloom.operators import funnel as FN
 
 HOUR_MICROS = 3_600_000_000
@@ -30,42 +31,42 @@ def hour_text(idx: Column) -> Column:
 def hourly_counts(events: DataFrame, key_events=None, dim: Column | None = None) -> DataFrame:
     """(dim, event_name, hour) -> events; only hours that have events."""
     names = list(key_events or KEY_EVENTS)
-    d = dim if dim is not None else P.country_code(F.col("geo.country"))
+    d = dim if dim is not None else P.country_code(F.col("geo.country"), dims.FUNNEL_COUNTRY_CODES)
     return (events.where(F.col("event_name").isin(names))
             .groupBy(d.alias("dim"), "event_name", hour_index(F.col("event_timestamp")).alias("hour"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def zero_runs(events: DataFrame, key_events=None, dim: Column | None = None,
+def zero_runs(events: DataFrame, start, as_of, key_events=None, dim: Column | None = None, dim_values=None,
               min_hours: int = dims.ZERO_RUN_HOURS) -> DataFrame:
     """Runs of at least ``min_hours`` consecutive clock hours (UTC) with no
-    event, per (dim, key event), on the grid from the run's first to last
-    hour. Every dim value seen gets every key event."""
+    event in ``[start, as_of)``, per (dim, key event). Every listed dim
+    value has every key event, so a key that never fires is one run."""
+    lo, hi = X.to_micros(start), X.to_micros(as_of)
+    ev = FN.before_cutoff(events, as_of).where(F.col("event_timestamp") >= F.lit(lo))
     names = list(key_events or KEY_EVENTS)
-    return zero_runs_from_counts(hourly_counts(events, names, dim), names, min_hours)
+    return zero_runs_from_counts(hourly_counts(ev, names, dim), lo // HOUR_MICROS, -(-hi // HOUR_MICROS),
+                                 names, dim_values, min_hours)
 
 
-def zero_runs_from_counts(counts: DataFrame, key_events=None, min_hours: int = dims.ZERO_RUN_HOURS) -> DataFrame:
-    """Zero runs from (dim, event_name, hour, n) counts, e.g. the output
-    of the streaming hourly monitor."""
+def zero_runs_from_counts(counts: DataFrame, first_hour: int, end_hour: int, key_events=None, dim_values=None,
+                          min_hours: int = dims.ZERO_RUN_HOURS) -> DataFrame:
+    """Zero runs in hours ``first_hour <= hour < end_hour`` from (dim,
+    event_name, hour, n) counts, e.g. the output of the hourly monitor."""
     names = list(key_events or KEY_EVENTS)
-    lo = counts.select(F.min("hour")).scalar()
-    hi = counts.select(F.max("hour")).scalar()
-    grid = (counts.select("dim").distinct()
-            .select("dim", F.explode(F.array(*[F.lit(n) for n in names])).alias("event_name"))
-            .select("dim", "event_name", F.explode(F.sequence(lo, hi)).alias("hour")))
-    filled = (grid.join(counts, ["dim", "event_name", "hour"], "left")
-              .select("dim", "event_name", "hour", F.coalesce(F.col("n"), F.lit(0)).alias("n")))
-    zeros = filled.where(F.col("n") == 0)
+    values = list(dim_values or [c for _, c in dims.FUNNEL_COUNTRY_CODES] + [dims.OTHER_COUNTRY])
+    closing = [(d, n, end_hour) for d in values for n in names]
+    ends = counts.sparkSession.createDataFrame(closing, "dim string, event_name string, hour bigint")
+    seen = (counts.where(F.col("dim").isin(values) & F.col("event_name").isin(names) & (F.col("n") > 0)
+                         & F.col("hour").between(first_hour, end_hour - 1))
+            .select("dim", "event_name", "hour"))
     w = Window.partitionBy("dim", "event_name").orderBy("hour")
-    islands = zeros.select("dim", "event_name", "hour",
-                           (F.col("hour") - F.row_number().over(w)).alias("island"))
-    runs = (islands.groupBy("dim", "event_name", "island")
-            .agg(F.min("hour").alias("h0"), F.max("hour").alias("h1"), F.count(F.lit(1)).alias("zero_hours")))
-    return (runs.where(F.col("zero_hours") >= F.lit(min_hours))
-            .select(F.col("dim").alias("country_code"), "event_name",
-                    hour_text(F.col("h0")).alias("zero_from"), hour_text(F.col("h1")).alias("zero_to"),
-                    "zero_hours"))
+    gaps = seen.union(ends).select("dim", "event_name", "hour",
+                                   F.coalesce(F.lag("hour").over(w), F.lit(first_hour - 1)).alias("before"))
+    hours = F.col("hour") - F.col("before") - 1
+    return (gaps.where(hours >= F.lit(min_hours))
+            .select(F.col("dim").alias("country_code"), "event_name", hour_text(F.col("before") + 1).alias("zero_from"),
+                    hour_text(F.col("hour") - 1).alias("zero_to"), hours.alias("zero_hours")))
 
 
 def version_key(v: Column) -> Column:
@@ -96,9 +97,12 @@ def event_completeness(reach_by_version: DataFrame, steps=None, gaps=None) -> Da
     """Devices per (group, version, step) on the dense grid of every
     version seen × the group's steps. ``is_gap``: no device in this
     version while another version of the same group and step has some."""
-    versions = reach_by_version.select(F.sort_array(F.collect_set("app_version"))).scalar()
     spark = reach_by_version.sparkSession
-    grid = FN.steps_frame(spark, steps).select("grp", "step_no", "step", F.explode(versions).alias("app_version"))
+    # group and version pairs of every version seen, joined to the group's steps
+    listed = FN.steps_frame(spark, steps).select("grp", "step_no", "step").distinct()
+    groups = F.array(*[F.lit(g) for g in dims.GROUPS])
+    seen = reach_by_version.select("app_version").distinct().select("app_version", F.explode(groups).alias("grp"))
+    grid = seen.join(listed, "grp")
     n = (grid.join(reach_by_version.select("grp", "app_version", "step_no", "hit"),
                    ["grp", "app_version", "step_no"], "left")
          .select("grp", "app_version", "step_no", "step", F.coalesce(F.col("hit"), F.lit(0)).alias("n_devices")))

@@ -96,11 +96,12 @@ def stable_devices(status: DataFrame) -> DataFrame:
 
 def health_counts(status: DataFrame) -> DataFrame:
     """Fallback share (of all assigned devices) and conflict count, with
-    the spec's alert thresholds."""
+    the spec's alert thresholds. A device with two groups and a fallback
+    counts in both."""
     agg = status.agg(F.count(F.lit(1)).alias("assigned"),
                      *[F.count_if(F.col("status") == F.lit(g)).alias(f"stable_{g.lower()}") for g in dims.GROUPS],
-                     F.count_if(F.col("status") == STATUS_CONFLICT).alias("conflicts"),
-                     F.count_if(F.col("status") == STATUS_FALLBACK).alias("fallbacks"))
+                     F.count_if("is_conflict").alias("conflicts"),
+                     F.count_if("is_fallback").alias("fallbacks"))
     share = F.try_divide(F.col("fallbacks"), F.col("assigned"))
     return agg.select("*", F.round(share, 6).alias("fallback_share"),
                       (F.coalesce(share, F.lit(0.0)) > F.lit(dims.FALLBACK_SHARE_MAX)).alias("fallback_alert"),

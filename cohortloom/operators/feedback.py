@@ -91,11 +91,15 @@ def route_checks(triage: DataFrame) -> DataFrame:
 
 def feedback_routes(triage: DataFrame, pool: DataFrame, release: DataFrame) -> DataFrame:
     """Triage counts per destination and the trace feedback -> requirement
-    -> release (two left joins on the link)."""
+    -> release (two left joins on the link). Records without a link, often
+    most of them, trace to nothing and do not enter the joins."""
     t = route_checks(triage)
     titles = pool.select(F.col("title").alias("link"), F.lit(True).alias("in_pool")).dropDuplicates(["link"])
     names = release.select(F.col("name").alias("link"), F.lit(True).alias("in_release")).dropDuplicates(["link"])
-    traced = t.join(titles, "link", "left").join(names, "link", "left")
+    linked = t.where(F.col("link").isNotNull()).join(titles, "link", "left").join(names, "link", "left")
+    wanted = ["destination", "missing_link", "in_pool", "in_release"]
+    unlinked = t.where(F.col("link").isNull()).withColumns({c: F.lit(None).cast("boolean") for c in wanted[2:]})
+    traced = linked.select(wanted).union(unlinked.select(wanted))
     return (traced.groupBy("destination")
             .agg(F.count(F.lit(1)).alias("records"),
                  F.count_if("missing_link").alias("missing_link"),

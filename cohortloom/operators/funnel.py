@@ -4,15 +4,20 @@ A device reaches step k when it hit steps 1..k, in any time order. Each
 device's hits are one bitmask (``bit_or`` of ``1 << step_no``), built by
 a hash aggregate that combines map-side, so a device with a third of
 all events still leaves each map task as one row. Reach at step k is
-then "trailing ones of mask >> 1 >= k", counted per (group, country,
+then "trailing ones of mask >> 1 >= ordinal of k", counted per (group, country,
 mask) — a table of at most groups × countries × 2^steps rows — and
-joined to the small step list.
+joined to the small step list. Steps are numbered densely per group
+before they become bits, so gaps in ``step_no`` do no harm; more steps
+than bits raise in either form of the step list.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom import schemas
 from cohortloom.functions import dims
@@ -39,12 +44,20 @@ def default_steps() -> list[tuple]:
 
 
 def steps_frame(spark: SparkSession, steps=None) -> DataFrame:
-    """Step list (rows or a DataFrame) as a broadcast-ready dimension."""
+    """Step list (rows or a DataFrame) as a dimension with ``ord``, the
+    dense ordinal of a step in its group."""
     if steps is None:
         steps = default_steps()
-    if not isinstance(steps, DataFrame) and any(r[1] < 1 or r[1] > MAX_STEPS for r in steps):
-        raise ValueError(f"step_no must be in 1..{MAX_STEPS}")
-    return dimension(spark, steps, schemas.FUNNEL_STEPS)
+    too_many = f"a group has more than {MAX_STEPS} steps"
+    if isinstance(steps, DataFrame):
+        rank = F.dense_rank().over(Window.partitionBy("grp").orderBy("step_no"))
+        checked = F.when(F.col("ord") <= MAX_STEPS, F.col("ord")).otherwise(F.raise_error(F.lit(too_many)).cast("int"))
+        return steps.withColumn("ord", rank).withColumn("ord", checked)
+    numbers = {g: sorted({r[1] for r in steps if r[0] == g}) for g in {r[0] for r in steps}}
+    if any(len(n) > MAX_STEPS for n in numbers.values()):
+        raise ValueError(too_many)
+    fields = T.StructType([*schemas.FUNNEL_STEPS.fields, T.StructField("ord", T.IntegerType())])
+    return dimension(spark, [(*r, numbers[r[0]].index(r[1]) + 1) for r in steps], fields)
 
 
 def gaps_frame(spark: SparkSession, gaps=None) -> DataFrame:
@@ -61,27 +74,39 @@ def depth(mask: Column) -> Column:
     return _trailing_ones(F.shiftright(mask, 1))
 
 
-def step_masks(events: DataFrame, steps=None, event_names=None) -> DataFrame:
+def before_cutoff(events: DataFrame, cutoff) -> DataFrame:
+    """Events before the cutoff. On day shards the day of the cutoff also
+    prunes partitions."""
+    if cutoff is None:
+        return events
+    micros = X.to_micros(cutoff)
+    if schemas.SUFFIX in events.columns:
+        day = _dt.datetime.fromtimestamp((micros - 1) // 1_000_000, _dt.timezone.utc).strftime("%Y%m%d")
+        events = events.where(F.col(schemas.SUFFIX) <= F.lit(day))
+    return events.where(F.col("event_timestamp") < F.lit(micros))
+
+
+def step_masks(events: DataFrame, steps=None, event_names=None, cutoff=None) -> DataFrame:
     """(device, grp, mask): which steps of each group's list the device
-    hit. ``event_names`` (literal) lets the name filter reach the scan;
+    hit before ``cutoff``. ``event_names`` (literal) lets the name filter reach the scan;
     with a step list it is derived from it."""
     if event_names is None and not isinstance(steps, DataFrame):
         event_names = step_event_names(steps)
     steps = steps_frame(events.sparkSession, steps)
-    ev = events
+    ev = before_cutoff(events, cutoff)
     if event_names:
         ev = ev.where(F.col("event_name").isin(list(event_names)))
     ev = ev.select("user_pseudo_id", "event_name",
                    P.param("lesson_id", "int_value").alias("lesson_id"),
                    P.is_success().alias("ok"))
-    s = steps.select("grp", "step_no", F.col("event_name").alias("s_event"), "lesson_ids", "require_success")
+    s = steps.select("grp", "ord", F.col("event_name").alias("s_event"), "lesson_ids", "require_success")
     cond = ((F.col("event_name") == F.col("s_event"))
             & (F.col("lesson_ids").isNull() | F.coalesce(F.array_contains("lesson_ids", F.col("lesson_id")),
                                                          F.lit(False)))
             & (~F.col("require_success") | F.col("ok")))
     return (ev.join(s, cond, "inner")
             .groupBy("user_pseudo_id", "grp")
-            .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), step_no)")).alias("mask")))
+            .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), ord)")).alias("mask")))
 
 
 def device_funnel(stable: DataFrame, masks: DataFrame) -> DataFrame:
@@ -109,10 +134,10 @@ def funnel_reach(devices: DataFrame, steps=None, by=("country_code",), all_label
                                         for b in by], "mask", "n")
     else:
         counts = devices.groupBy("grp", *by, "mask").agg(F.count(F.lit(1)).alias("n"))
-    s = steps_frame(devices.sparkSession, steps).select("grp", "step_no", "step")
+    s = steps_frame(devices.sparkSession, steps).select("grp", "step_no", "step", "ord").distinct()
     joined = counts.join(s, "grp", "inner")
-    reached = depth(F.col("mask")) >= F.col("step_no")
-    hit = (F.expr("shiftright(mask, step_no)") % 2) == 1
+    reached = depth(F.col("mask")) >= F.col("ord")
+    hit = (F.expr("shiftright(mask, ord)") % 2) == 1
     return (joined.groupBy("grp", *by, "step_no", "step")
             .agg(F.sum("n").alias("assigned"),
                  F.sum(F.when(reached, F.col("n")).otherwise(F.lit(0))).alias("reached"),
@@ -158,7 +183,7 @@ def country_funnel(events: DataFrame, assign_events: DataFrame, start, cutoff, s
                    platform: str | None = dims.PLATFORM) -> DataFrame:
     """R-5 end to end: assignment status -> stable devices -> masks -> reach."""
     status = X.assignment_status(assign_events, start, cutoff, platform)
-    devices = device_funnel(X.stable_devices(status), step_masks(events, steps))
+    devices = device_funnel(X.stable_devices(status), step_masks(events, steps, cutoff=cutoff))
     return funnel_reach(devices, steps)
 
 
@@ -175,12 +200,12 @@ def funnel_by_country(reach: DataFrame, groups=None) -> DataFrame:
     return reach.groupBy("country_code", "step_no").agg(*cols)
 
 
-def lesson_reach(events: DataFrame, stable: DataFrame, lessons=None) -> DataFrame:
+def lesson_reach(events: DataFrame, stable: DataFrame, lessons=None, cutoff=None) -> DataFrame:
     """Devices per group and first-lesson id: stable devices with a lesson
-    event for one of their group's lessons. (device, lesson) pairs are
+    event before ``cutoff`` for one of their group's lessons. (device, lesson) pairs are
     made distinct first, which combines map-side, then joined to devices."""
     ls = lessons or {"A": dims.LESSONS_A, "B": dims.LESSONS_B}
-    pairs = (events.where(F.col("event_name") == dims.LESSON_EVENT)
+    pairs = (before_cutoff(events, cutoff).where(F.col("event_name") == dims.LESSON_EVENT)
              .select("user_pseudo_id", P.param("lesson_id", "int_value").alias("lesson_id"))
              .where(F.col("lesson_id").isNotNull())
              .distinct())

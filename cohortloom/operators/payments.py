@@ -5,8 +5,8 @@ residual condition. Both sides shuffle on the device id; a device with
 a third of all orders is split by adaptive skew-join handling (inner
 join, so either side may be split), and the per-device aggregate after
 the join combines map-side. The split needs both join inputs to be
-shuffle stages: pass a written device table (``plans.materialize``), not
-the assignment aggregate itself.
+shuffle stages: a caller with such a device passes a written device table
+rather than the assignment aggregate itself.
 """
 
 from __future__ import annotations
@@ -82,17 +82,17 @@ def verdict_state(metrics: DataFrame, completeness: DataFrame, dev_orders: DataF
     completeness, then 7-day maturity; only then comparable."""
     sample = (metrics.where(F.col("step_no") == 1)
               .select("grp", "country_code", "small_sample"))
-    gaps = completeness.agg(F.bool_or(F.col("is_gap") | F.col("is_known_gap")).alias("has_gap"))
+    # a found gap holds back its own group; a listed known gap is only marked
+    gaps = completeness.groupBy("grp").agg(F.bool_or(F.col("is_gap") & ~F.col("is_known_gap")).alias("has_gap"))
     mature = (dev_orders.groupingSets([["grp", "country_code"], ["grp"]], "grp", "country_code")
               .agg(F.count_if(F.col("is_mature")).alias("mature_devices"), F.grouping_id().alias("gid"))
               .select("grp", F.when(F.col("gid") > 0, F.lit(dims.ALL_COUNTRIES))
                       .otherwise(F.col("country_code")).alias("country_code"), "mature_devices"))
-    has_gap = gaps.select("has_gap").scalar()
     state = (F.when(F.col("small_sample"), F.lit("small_sample"))
-             .when(F.coalesce(has_gap, F.lit(False)), F.lit("version_gap"))
+             .when(F.coalesce(F.col("has_gap"), F.lit(False)), F.lit("version_gap"))
              .when(F.coalesce(F.col("mature_devices"), F.lit(0)) == 0, F.lit("immature"))
              .otherwise(F.lit("comparable")))
-    return (sample.join(mature, ["grp", "country_code"], "left")
+    return (sample.join(mature, ["grp", "country_code"], "left").join(gaps, "grp", "left")
             .select("grp", "country_code", "small_sample",
                     F.coalesce(F.col("mature_devices"), F.lit(0).cast("bigint")).alias("mature_devices"),
                     state.alias("verdict_state")))

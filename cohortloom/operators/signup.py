@@ -3,10 +3,12 @@
 Plan shape (see ``explain``): each branch of the day union prunes days
 by ``PartitionFilters`` and pushes ``event_name IN (...)`` to the scan.
 "First row per key" is an aggregate ``min(struct(order keys, payload))``
-instead of ``row_number() = 1``: it combines map-side, so a hot device
-id (null ids, test devices) collapses to one row per map task before
-the shuffle. The left join is then one row per device against one row
-per (device, day), and the final group-by is partial + final.
+instead of ``row_number() = 1``: it combines map-side (as a sort-based
+aggregate, since structs have no fixed width), so a hot device id (null
+ids, test devices) collapses to one row per map task before the shuffle.
+Each day is read once: first open and sign-up are two conditional minima
+of the same (device, day) group, the device's first open carries the
+sign-up of its own day along, and no join is needed.
 """
 
 from __future__ import annotations
@@ -77,6 +79,43 @@ def signup_first(events: DataFrame, methods=None, success_values=None, strict: b
                          P.recode_method(F.col("w.method_raw"), methods).alias("signup_method"))
 
 
+def cohort_days(events: DataFrame, country_map=None, methods=None, success_values=None, strict: bool = False) -> DataFrame:
+    """One row per device: its first open and the first successful sign-up
+    of that day, from one pass. The same rules as ``first_open`` and
+    ``signup_first``; a null device never counts as registered."""
+    ties = [F.col(c) for c in _tie_columns(events)]
+    order = [F.col("event_timestamp"), *ties]
+    raw = P.signup_method_raw(strict=strict)
+    signed = ((F.col("event_name") == dims.SIGNUP_RESULT)
+              & P.success_value(strict=strict).isin(list(success_values or dims.SUCCESS_VALUES)))
+    days = (events.groupBy("user_pseudo_id", "event_date")
+            .agg(F.min(F.when(F.col("event_name") == dims.FIRST_OPEN,
+                              F.struct(*order, "platform", F.col("geo.country").alias("country")))).alias("fo"),
+                 F.min(F.when(signed, F.struct(raw.isNull().cast("int").alias("no_method"), *order,
+                                               raw.alias("method_raw")))).alias("su")))
+    first = (days.where(F.col("fo").isNotNull()).groupBy("user_pseudo_id")
+             .agg(F.min(F.struct("fo", "event_date", "su")).alias("w")))
+    known = F.col("user_pseudo_id").isNotNull() & F.col("w.su").isNotNull()
+    return first.select("user_pseudo_id", F.to_date(F.col("w.event_date"), "yyyyMMdd").alias("cohort_date"),
+                        F.col("w.fo.platform").alias("platform"),
+                        P.country_code(F.col("w.fo.country"), country_map).alias("country_code"),
+                        F.when(known, P.recode_method(F.col("w.su.method_raw"), methods)).alias("signup_method"))
+
+
+def country_counts(cohorts: DataFrame, methods=None) -> DataFrame:
+    """Counts per (day, country) from ``cohort_days``."""
+    reg = F.col("signup_method").isNotNull()
+    android = F.col("platform") == F.lit(dims.PLATFORM)
+    method_counts = [F.count_if(F.col("signup_method") == F.lit(m)).alias(m)
+                     for m in list(methods or dims.SIGNUP_METHODS) + [dims.UNKNOWN_METHOD]]
+    opens, registered = F.count(F.lit(1)), F.count_if(reg)
+    return cohorts.groupBy("cohort_date", "country_code").agg(
+        opens.alias("first_opens"), registered.alias("registered"),
+        F.round(F.try_divide(registered, opens) * 100, 1).cast("double").alias("registered_rate"),
+        *method_counts, F.count_if(android).alias("android_first_opens"),
+        F.count_if(android & reg).alias("android_registered"))
+
+
 def country_daily(cohorts: DataFrame, signups: DataFrame, methods=None) -> DataFrame:
     """Left join cohorts to same-day sign-ups, count per (day, country)."""
     c = cohorts.alias("c")
@@ -111,5 +150,5 @@ def signup_country_method_daily(daily: DataFrame, intraday: DataFrame, start_dat
         as_of = _dt.datetime.now(_dt.timezone.utc).date()
     ev = S.union_events(daily, intraday, start_date, landed_max, as_of,
                         [dims.FIRST_OPEN, dims.SIGNUP_RESULT])
-    report = country_daily(first_open(ev, country_map), signup_first(ev, methods, strict=strict), methods)
+    report = country_counts(cohort_days(ev, country_map, methods, strict=strict), methods)
     return report.orderBy("cohort_date", "country_code") if ordered else report

@@ -174,41 +174,34 @@ def allowed_transitions(chain=None, hold: str | None = dims.RELEASE_HOLD_STATUS)
 
 
 STATUS_BUCKET_MICROS = 86_400_000_000   # one day
-HOT_CELL_ROWS = 1_000_000                # rows of one record in one bucket that count as hot
-HOT_SPLIT_MICROS = 1_000_000             # hot cells are split by second
+STATUS_CHUNK = 4096                      # sequence numbers per cell of equal time
 
 
-def status_changes(log: DataFrame, bucket_micros: int = STATUS_BUCKET_MICROS,
-                   hot_rows: int = HOT_CELL_ROWS, hot_split_micros: int = HOT_SPLIT_MICROS) -> DataFrame:
+def status_changes(log: DataFrame, bucket_micros: int = STATUS_BUCKET_MICROS, chunk: int = STATUS_CHUNK) -> DataFrame:
     """Each log row with the record's previous status in (ts, seq) order.
 
-    A record's rows are split into time buckets: ``lag`` runs inside a
-    (record, bucket) window, and the first row of a bucket takes the last
-    status of the record's previous non-empty bucket, found from one
-    aggregated row per bucket (``max(struct(ts, seq, status))``, combined
-    map-side). A record holding a third of the log is thus spread over
-    its buckets instead of being sorted in one task. Buckets with more
-    than ``hot_rows`` rows are split again by ``hot_split_micros``. There
-    are at most rows / ``hot_rows`` such cells (at most 10^6 keys of three
-    small fields even at 10^12 log rows with the default), a bound by
-    construction, so their list is broadcast without a counting pass.
-    Time order is kept: a bucket is (day, sub).
+    The previous status is carried in two fixed levels, so that a record
+    with a third of the log is never sorted in one task, whether its rows
+    are spread over time or all have one timestamp. Rows lie in cells
+    (record, ts, ``floor(seq / chunk)``), in which ``lag`` runs. The first
+    row of a cell takes the last status of the cell before it on its day,
+    and the first cell of a day that of the record's previous day. Both
+    come from one aggregated row per cell and per day, combined map-side.
     """
-    keyed = log.withColumn("day", F.floor(F.col("ts") / F.lit(bucket_micros)).cast("bigint"))
-    cells = keyed.groupBy("table_name", "id", "day").agg(F.count(F.lit(1)).alias("n"))
-    hot = cells.where(F.col("n") > F.lit(hot_rows)).select("table_name", "id", "day", F.lit(True).alias("hot"))
-    hot = F.broadcast(hot)      # at most rows / hot_rows cells
-    keyed = (keyed.join(hot, ["table_name", "id", "day"], "left")
-             .withColumn("sub", F.when(F.col("hot"), F.floor(F.col("ts") / F.lit(hot_split_micros)).cast("bigint"))
-                         .otherwise(F.lit(0).cast("bigint")))
-             .drop("hot"))
-    last = (keyed.groupBy("table_name", "id", "day", "sub")
-            .agg(F.max(F.struct("ts", "seq", "status")).alias("last")))
-    by_bucket = Window.partitionBy("table_name", "id").orderBy("day", "sub")
-    carry = last.select("table_name", "id", "day", "sub", F.lag("last.status").over(by_bucket).alias("carry"))
-    inner = Window.partitionBy("table_name", "id", "day", "sub").orderBy("ts", "seq")
+    record = ["table_name", "id"]
+    cell = [*record, "day", "ts", "part"]
+    keyed = (log.withColumn("day", F.floor(F.col("ts") / F.lit(bucket_micros)).cast("bigint"))
+             .withColumn("part", F.floor(F.col("seq") / F.lit(chunk)).cast("bigint")))
+    last = keyed.groupBy(*cell).agg(F.max(F.struct("seq", "status")).alias("last"))
+    days = last.groupBy(*record, "day").agg(F.max(F.struct("ts", "part", "last")).alias("end"))
+    days = days.select(*record, "day", F.lag("end.last.status").over(Window.partitionBy(*record).orderBy("day")).alias("before"))
+    in_day = Window.partitionBy(*record, "day").orderBy("ts", "part")
+    carry = (last.withColumn("inside", F.lag("last.status").over(in_day)).withColumn("n", F.row_number().over(in_day))
+             .join(days, [*record, "day"])
+             .select(*cell, F.when(F.col("n") == 1, F.col("before")).otherwise(F.col("inside")).alias("carry")))
+    inner = Window.partitionBy(*cell).orderBy("seq")
     rows = keyed.select("*", F.lag("status").over(inner).alias("prev_in"), F.row_number().over(inner).alias("rn"))
-    return (rows.join(carry, ["table_name", "id", "day", "sub"], "inner")
+    return (rows.join(carry, cell, "inner")
             .select("table_name", "id", "seq", "ts", "status",
                     F.when(F.col("rn") == 1, F.col("carry")).otherwise(F.col("prev_in")).alias("prev_status")))
 

@@ -1,8 +1,8 @@
-"""Broadcast only behind a size check.
+"""Static dimensions.
 
-A side is hinted for broadcast only when a bounded count proves it has
-at most ``max_rows`` rows; otherwise the frame is returned as is and
-the planner (with adaptive execution) picks a shuffle join.
+Rows given as a Python list have a known length and are hinted for
+broadcast; a dimension given as a DataFrame is joined as the planner (with
+adaptive execution) sees fit.
 """
 
 from __future__ import annotations
@@ -11,25 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early),
-    so it costs little even on a large side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def dimension(spark, rows, schema, max_rows: int = 10_000) -> DataFrame:
-    """A static dimension as a DataFrame ready to join.
-
-    ``rows`` as a Python list has a known length, so it is broadcast
-    without a count job when within ``max_rows``; a DataFrame goes
-    through ``bounded_broadcast``.
-    """
-    if isinstance(rows, DataFrame):
-        return bounded_broadcast(rows, max_rows)
-    rows = list(rows)
-    df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= max_rows else df
+def dimension(spark, rows, schema) -> DataFrame:
+    """A static dimension as a DataFrame ready to join."""
+    return rows if isinstance(rows, DataFrame) else F.broadcast(spark.createDataFrame(list(rows), schema))

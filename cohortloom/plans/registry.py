@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
-from cohortloom.plans.materialize import materialize
 from cohortloom.functions import dims
 from cohortloom.operators import alerts, experiment, feedback, funnel, payments, reshape, signup, workflow
 from cohortloom.sources import events as S
@@ -59,10 +58,8 @@ def signup_report(spark: SparkSession, sf_dir: str, ordered: bool = True) -> Dat
 
 
 def report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R-1 report materialized once for the hand-over jobs, which read it
-    several times (days × countries rows): written as a table in the
-    cluster's checkpoint folder and read back."""
-    return materialize(signup_report(spark, sf_dir, ordered=False), "signup-report")
+    """R-1 report as the input of the hand-over jobs."""
+    return signup_report(spark, sf_dir, ordered=False)
 
 
 @register("signup_daily")
@@ -132,7 +129,7 @@ def assignment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def funnel_table(spark: SparkSession, sf_dir: str, by=("country_code",)) -> DataFrame:
     ev = FX.app_events(spark, sf_dir)
     status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
-    devices = funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev))
+    devices = funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev, cutoff=FX.ASSIGN_CUTOFF))
     return funnel.funnel_reach(devices, by=by)
 
 
@@ -160,14 +157,12 @@ def q_funnel_metrics(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- R-7, R-8
-def _devices(spark: SparkSession, sf_dir: str, written: bool = False):
-    """Assignment status and funnel devices; with ``written`` the status
-    table is written once and every branch reads it."""
+def _devices(spark: SparkSession, sf_dir: str):
+    """Assignment status and funnel devices."""
     ev = FX.app_events(spark, sf_dir)
     status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
-    if written:
-        status = materialize(status, "assignment")
-    return status, funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev)), None
+    masks = funnel.step_masks(ev, cutoff=FX.ASSIGN_CUTOFF)
+    return status, funnel.device_funnel(experiment.stable_devices(status), masks)
 
 
 @register("hourly_counts")
@@ -177,28 +172,25 @@ def q_hourly_counts(spark, sf_dir):
 
 @register("zero_runs")
 def q_zero_runs(spark, sf_dir):
-    return alerts.zero_runs(FX.app_events(spark, sf_dir))
+    return alerts.zero_runs(FX.app_events(spark, sf_dir), FX.ALERT_START, FX.ALERT_END)
 
 
 @register("version_drop")
 def q_version_drop(spark, sf_dir):
-    _, devices, steps = _devices(spark, sf_dir)
-    return alerts.version_drop(alerts.reach_by_version(devices, steps))
+    _, devices = _devices(spark, sf_dir)
+    return alerts.version_drop(alerts.reach_by_version(devices))
 
 
 @register("event_completeness")
 def q_event_completeness(spark, sf_dir):
-    _, devices, steps = _devices(spark, sf_dir)
-    return alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, FX.FIXTURE_GAPS)
+    _, devices = _devices(spark, sf_dir)
+    return alerts.event_completeness(alerts.reach_by_version(devices), gaps=FX.FIXTURE_GAPS)
 
 
 def orders_table(spark: SparkSession, sf_dir: str, status: DataFrame | None = None) -> DataFrame:
-    """Per-device orders. The assignment table is written once first (pass
-    it when already written), so both inputs of the orders join are fresh
-    shuffles and adaptive execution can split a device holding a large
-    share of the orders."""
+    """Per-device orders."""
     if status is None:
-        status = materialize(assignment_table(spark, sf_dir), "assignment")
+        status = assignment_table(spark, sf_dir)
     return payments.device_orders(experiment.stable_devices(status), FX.orders_prod(spark, sf_dir),
                                   FX.ASSIGN_CUTOFF)
 
@@ -226,10 +218,10 @@ def q_order_totals(spark, sf_dir):
 
 @register("verdict_state")
 def q_verdict_state(spark, sf_dir):
-    status, devices, steps = _devices(spark, sf_dir, written=True)
+    status, devices = _devices(spark, sf_dir)
     gaps = FX.FIXTURE_GAPS
-    metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, steps), gaps)
-    completeness = alerts.event_completeness(alerts.reach_by_version(devices, steps), steps, gaps)
+    metrics = funnel.funnel_metrics(funnel.funnel_reach(devices), gaps)
+    completeness = alerts.event_completeness(alerts.reach_by_version(devices), gaps=gaps)
     return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir, status))
 
 
@@ -369,7 +361,7 @@ def q_funnel_by_country(spark, sf_dir):
 @register("lesson_reach")
 def q_lesson_reach(spark, sf_dir):
     status = assignment_table(spark, sf_dir)
-    return funnel.lesson_reach(FX.app_events(spark, sf_dir), experiment.stable_devices(status))
+    return funnel.lesson_reach(FX.app_events(spark, sf_dir), experiment.stable_devices(status), cutoff=FX.ASSIGN_CUTOFF)
 
 
 @register("gap_flagged")

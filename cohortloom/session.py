@@ -8,7 +8,6 @@ and splits skewed join partitions.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -54,15 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is. Only when it is unset (local tests) is ``fallback`` (or a
-    fresh scratch folder) set.
+    used as is. Only when it is unset is ``fallback`` set, which tests and
+    local runs pass; without one this raises, since a machine-local folder
+    would lose rows on a cluster.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = fallback or tempfile.mkdtemp(prefix="cohortloom-ckpt-")
+        if not fallback:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = fallback
         os.makedirs(configured, exist_ok=True)
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

@@ -30,8 +30,12 @@ DAILY_BEFORE = "20240125"      # days before this are landed
 INTRADAY_FROM = "20240124"     # intraday overlaps one landed day
 START_DATE = "2024-01-01"
 AS_OF = "2024-01-31"
-ASSIGN_START = "2024-01-01 00:00:00"
-ASSIGN_CUTOFF = "2024-01-31 00:00:00"
+# inside the data, so window, cutoff and maturity have rows on both sides
+ASSIGN_START = "2024-01-01 06:00:00"
+ASSIGN_CUTOFF = "2024-01-28 12:00:00"
+# the alert period ends after the last event
+ALERT_START = "2024-01-01 00:00:00"
+ALERT_END = "2024-02-02 00:00:00"
 IMAGE_PREFIX = "data:image/jpeg;base64,"
 # requirement workflow fixture
 RELEASE_VERSION_CHANGED = "1.9.9"
@@ -40,35 +44,9 @@ OTHER_RELEASE_TYPES = ["紧急Bug", "研发优化", "体验优化"]
 FEEDBACK_BLANK_TEXT = " \t\n "
 
 
-_PLANS: dict = {}
-
-
-def _reuse_plan(fn):
-    """Return the same DataFrame (an immutable plan, no data) for the same
-    session and table folder, so jobs that read a test table several
-    times do not rebuild its expressions on the driver."""
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, sf_dir)
-        hit = _PLANS.get(key)
-        if hit is not None and hit[0] is spark:
-            return hit[1]
-        df = fn(spark, sf_dir)
-        _PLANS[key] = (spark, df)
-        return df
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table. Each is a single small file, which Spark reads
-    as one split, so all derivation work would run in one task; when the
-    split count is below the default parallelism the rows are spread
-    round-robin first. Large inputs arrive in many splits and are read
-    as they are."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    target = spark.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    """Read one test table as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values, index: Column) -> Column:
@@ -98,7 +76,8 @@ def _k() -> Column:
 
 def group_rule(uid: Column, k: Column) -> Column:
     even = (uid % 2) == 0
-    flip = ((uid % 17) == 0) & ((k % 2) == 1)
+    # every 23rd device has fallback and both groups, every 17th both groups
+    flip = (((uid % 17) == 0) & ((k % 2) == 1)) | (((uid % 23) == 0) & ((k % 4) == 1))
     return (F.when(((uid % 23) == 0) & ((k % 4) == 0), F.lit(dims.FALLBACK_GROUP))
             .when(even != flip, F.lit("A")).otherwise(F.lit("B")))
 
@@ -124,7 +103,6 @@ def param_rows() -> list[tuple]:
     return rows
 
 
-@_reuse_plan
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> warehouse-shaped app events with a ``suffix`` column.
 
@@ -172,7 +150,6 @@ def intraday_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return app_events(spark, sf_dir).where(F.col(schemas.SUFFIX) >= INTRADAY_FROM)
 
 
-@_reuse_plan
 def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events -> production orders."""
     ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
@@ -186,7 +163,6 @@ def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_reuse_plan
 def speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = read_table(spark, sf_dir, "conversations")
     return conv.select(
@@ -197,7 +173,6 @@ def speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_reuse_plan
 def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with a page from ``pages`` -> feedback records.
 
@@ -226,7 +201,6 @@ def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("url").alias("page"), "demo"))
 
 
-@_reuse_plan
 def pool_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` -> requirement pool rows."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -259,7 +233,6 @@ def pool_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_reuse_plan
 def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Release table: product requirements handed over from the pool,
     plus the other three source types from ``supplier``."""
@@ -291,7 +264,6 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return handed.select(*others.columns).unionByName(others)
 
 
-@_reuse_plan
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status changes of both workflow tables.
 
@@ -324,14 +296,12 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIXTURE_GAPS = [("B", "1.4.2", "lesson_start")]
 
 
-@_reuse_plan
 def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return part.select("p_partkey", F.concat(F.col("p_name"), F.lit(" #"),
                                              F.col("p_partkey").cast("string")).alias("title"))
 
 
-@_reuse_plan
 def feedback_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted feedback with its triage destination and, when routed to
     the pool or to testing, the linked requirement title (missing on
