@@ -25,7 +25,7 @@ SPACE_RX = r"[\x20\x09-\x0D]+"
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
 _P_INV = _U(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_CHUNK_BYTES = 4 << 20
+_CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
