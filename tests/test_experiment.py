@@ -117,7 +117,7 @@ def test_step_rates_and_gap_flag(spark):
 def test_zero_run_threshold(spark, hours, alert):
     rows = [ev("first_open", "2024-01-05", "00:00", "u")]
     rows += [ev("first_open", "2024-01-05", f"{h:02d}:00", "u") for h in range(1 + hours, 12)]
-    out = alerts.zero_runs(events_df(spark, rows), key_events=["first_open"])
+    out = alerts.zero_runs(events_df(spark, rows), "2024-01-05 00:00:00", "2024-01-05 12:00:00", ["first_open"], dim_values=["VN"])
     assert (out.count() == 1) == alert
 
 
@@ -136,7 +136,8 @@ def test_version_drop_threshold(spark, prev, cur, alert):
 @pytest.mark.parametrize("fallbacks,alert", [(10, False), (11, True)])
 def test_fallback_share_threshold(spark, fallbacks, alert):
     rows = [(f"d{i}", "fallback" if i < fallbacks else "A") for i in range(1000)]
-    st = spark.createDataFrame(rows, "user_pseudo_id string, status string")
+    st = spark.createDataFrame([(*r, r[1] == "fallback", False) for r in rows],
+                               "user_pseudo_id string, status string, is_fallback boolean, is_conflict boolean")
     h = experiment.health_counts(st).first()
     assert h["fallback_alert"] == alert and not h["conflict_alert"]
 
@@ -179,3 +180,50 @@ def test_funnel_reach_never_rises_on_test_tables(spark):
     w = Window.partitionBy("grp", "country_code").orderBy("step_no")
     rises = df.select((F.col("reached") > F.lag("reached").over(w)).alias("up")).where("up")
     assert rises.count() == 0
+
+
+def test_conflict_under_a_fallback_still_alerts(spark):
+    rows = [assign("x", "A"), assign("x", "B"), assign("x", "fallback"), assign("y", "A")]
+    status = experiment.assignment_status(experiment.assignment_events(events_df(spark, rows)), "2024-01-01", "2024-02-01")
+    assert {r["user_pseudo_id"]: (r["status"], r["is_conflict"]) for r in status.collect()}["x"] == ("fallback", True)
+    h = experiment.health_counts(status).first()
+    assert (h["conflicts"], h["fallbacks"], h["conflict_alert"], h["fallback_alert"]) == (1, 1, True, True)
+
+
+def test_outage_at_the_edges_and_of_a_silent_key(spark):
+    rows = [ev("first_open", "2024-01-05", f"{h:02d}:30", "u") for h in range(8, 12)]
+    out = alerts.zero_runs(events_df(spark, rows), "2024-01-05 00:00:00", "2024-01-06 00:00:00", ["first_open"], dim_values=["VN", "KR"])
+    assert sorted((r["country_code"], r["zero_from"][-5:], r["zero_to"][-5:], r["zero_hours"]) for r in out.collect()) == [
+        ("KR", "00:00", "23:00", 24), ("VN", "00:00", "07:00", 8), ("VN", "12:00", "23:00", 12)]
+
+
+def test_step_events_after_the_cutoff_do_not_count(spark):
+    steps = [("A", 1, "open", "first_open", None, False)]
+    rows = [ev("first_open", "2024-01-05", "10:00", "u"), ev("first_open", "2024-01-07", "12:00", "v")]
+    masks = funnel.step_masks(events_df(spark, rows), steps, cutoff="2024-01-07 12:00:00")
+    assert [r["user_pseudo_id"] for r in masks.collect()] == ["u"]
+
+
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_gaps_in_step_numbers_and_too_many_steps(spark, as_frame):
+    form = (lambda s: spark.createDataFrame(s, schemas.FUNNEL_STEPS)) if as_frame else (lambda s: s)
+    steps = form([("A", n, f"s{n}", f"e{n}", None, False) for n in (1, 2, 4, 65)])
+    rows = [ev(f"e{n}", "2024-01-05", "10:00", "u") for n in (1, 2, 4, 65)] + [ev("e65", "2024-01-05", "10:00", "v")]
+    masks = funnel.step_masks(events_df(spark, rows), steps, event_names=["e1", "e2", "e4", "e65"])
+    devices = masks.selectExpr("user_pseudo_id", "grp", "'VN' country_code", "'v' app_version", "mask")
+    got = {r["step_no"]: (r["reached"], r["hit"]) for r in funnel.funnel_reach(devices, steps).where("country_code = 'VN'").collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 4: (1, 1), 65: (1, 2)}
+    many = [("A", n, f"s{n}", "e", None, False) for n in range(1, 64)]
+    with pytest.raises(Exception, match="more than 62 steps"):
+        funnel.funnel_reach(devices, form(many)).collect()
+
+
+def test_verdict_states(spark):
+    from cohortloom.operators import payments
+    metrics = spark.createDataFrame([("A", "KR", 1, True), ("A", "VN", 1, False), ("B", "VN", 1, False), ("C", "VN", 1, False)],
+                                    "grp string, country_code string, step_no int, small_sample boolean")
+    complete = spark.createDataFrame([("A", True, False), ("B", True, True), ("C", False, False)],
+                                     "grp string, is_gap boolean, is_known_gap boolean")
+    orders = spark.createDataFrame([("B", "VN", True), ("C", "VN", False)], "grp string, country_code string, is_mature boolean")
+    got = {(r["grp"], r["country_code"]): r["verdict_state"] for r in payments.verdict_state(metrics, complete, orders).collect()}
+    assert got == {("A", "KR"): "small_sample", ("A", "VN"): "version_gap", ("B", "VN"): "comparable", ("C", "VN"): "immature"}

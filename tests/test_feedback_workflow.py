@@ -139,6 +139,17 @@ def test_hot_cells_are_split_and_give_the_same_lag(spark):
     log = FX.status_log(spark, "/root/testdata/sf0.001")
     w = Window.partitionBy("table_name", "id").orderBy("ts", "seq")
     plain = log.select("table_name", "id", "seq", F.lag("status").over(w).alias("prev_status"))
-    split = workflow.status_changes(log, hot_rows=1, hot_split_micros=3_600_000_000) \
-        .select("table_name", "id", "seq", "prev_status")
+    split = workflow.status_changes(log, chunk=1).select("table_name", "id", "seq", "prev_status")
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_record_with_a_third_of_the_log_at_one_time(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rows = [("release", "hot", f"s{i % 7}", i, 5) for i in range(3000)]
+    rows += [("release", f"r{i % 900}", f"s{i % 5}", i, i // 900) for i in range(6000)]
+    log = spark.createDataFrame(rows, schemas.STATUS_LOG)
+    w = Window.partitionBy("table_name", "id").orderBy("ts", "seq")
+    plain = log.select("table_name", "id", "seq", F.lag("status").over(w).alias("prev_status"))
+    got = workflow.status_changes(log, chunk=100).select("table_name", "id", "seq", "prev_status")
+    assert plain.exceptAll(got).count() == 0 and got.count() == len(rows)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cohortloom.plans.oracle import SQL
+from cohortloom.plans.registry import REGISTRY
 from tools.compare import TABLES, digest, duck_kind, spark_kind
 
 SF = "/root/testdata/sf0.001"
@@ -21,14 +23,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_parity(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(oracle_sql()[name])
+    cur = duck.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

@@ -58,5 +58,6 @@ def test_intraday_landing_and_hourly_monitor(spark, scratch):
     # with availableNow the last open hour stays in state; every closed hour matches batch
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
     assert streamed.count() >= 4
-    runs = alerts.zero_runs_from_counts(batch, ["first_open"]).collect()
+    first = batch.agg({"hour": "min"}).first()[0]
+    runs = alerts.zero_runs_from_counts(batch, first, first + 11, ["first_open"], ["VN"]).collect()
     assert [(r["zero_from"], r["zero_hours"]) for r in runs] == [("2024-01-05 03:00", 6)]
