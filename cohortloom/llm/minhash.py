@@ -18,7 +18,9 @@ Steps
     clearly below the threshold are dropped, the rest is confirmed on the
     full sets. Components of these links are found.
  4. Rest pass: buckets that still hold several components are joined with
-    themselves, for members of different components only. The join itself
+    themselves, for members of different components only: every member
+    meets those outside the bucket's largest component, so a bucket with one
+    large group of copies costs its rows times the few others. The join
     tests size, signature, and a finer signature of 2,048 minima that only
     these classes get, so no true link between components is lost and a
     bucket of copies never becomes all its pairs. What passes is confirmed
@@ -229,17 +231,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
     root = C.components(found)
     placed = members.join(root.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = (placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-             .where("lo <> hi and n > 2").select("band", "key"))
-    rest = C.saved(placed.join(mixed, ["band", "key"]).where("cls <> head").select("band", "key", "cls", "root"))
+    parts = placed.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
+    mixed = (parts.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("roots"), F.sum("n").alias("n"))
+             .where("roots > 1 and n > 2").select("band", "key", F.col("x.root").alias("largest")))
+    rest = C.saved(placed.join(mixed, ["band", "key"]).where("cls <> head")
+                   .select("band", "key", "cls", "root", (F.col("root") != F.col("largest")).alias("outside")))
     sets = full_sets(rest.select("cls").distinct(), True)
     wide = rest.join(reps.drop("doc_id"), "cls").join(sets.select("cls", "fine"), "cls")
     x, y = (wide.select("band", "key", F.col("cls").alias(m), F.col("root").alias("r" + m), F.col("n_shingles").alias("n" + m),
-                        F.col("planes").alias("p" + m), F.col("bands").alias("k" + m), F.col("fine").alias("f" + m)) for m in "ab")
+                        F.col("planes").alias("p" + m), F.col("bands").alias("k" + m), F.col("fine").alias("f" + m), F.col("outside").alias("o" + m))
+            for m in "ab")
     # a pair counts in the first band it shares only
     earlier = F.exists(F.arrays_zip(F.slice("ka", 1, x.band).alias("l"), F.slice("kb", 1, x.band).alias("r")), lambda z: z["l"] == z["r"])
-    pairs = x.join(y, (x.band == y.band) & (x.key == y.key) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-                   & alike() & (_estimate("fa", "fb", FINE, FINE_BITS) >= _cut(percent, FINE, FINE_BITS)) & ~earlier)
+    # one of two components is not the bucket's largest, so only the members outside that stand on the second side
+    pairs = x.join(y.where("ob"), (x.band == y.band) & (x.key == y.key) & (F.col("ra") != F.col("rb"))
+                   & (~F.col("oa") | (F.col("a") < F.col("b"))) & alike() & (_estimate("fa", "fb", FINE, FINE_BITS) >= _cut(percent, FINE, FINE_BITS)) & ~earlier)
     return documents, classes, found.union(confirmed(C.saved(pairs.select("a", "b")), sets))
 
 
