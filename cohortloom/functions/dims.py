@@ -56,6 +56,11 @@ ALL_COUNTRIES = "ALL"
 # first-lesson ids per group
 LESSONS_A = [732, 1615, 734, 733, 1613, 1614]
 LESSONS_B = [1661]
+# screens without a named event: (group, screen, the step it follows)
+SCREENS = [
+    ("B", "study_plan", "signup"),
+    ("B", "paywall_1", "study_plan"),
+]
 # known tracking gaps: (group, app version, step) usable for diagnosis only
 KNOWN_GAPS = [
     ("B", "1.4.2", "study_plan"),

@@ -23,6 +23,11 @@ def js_trim(c: Column) -> Column:
     return F.trim(c, F.lit(dims.TRIM_SET))
 
 
+def utf16_units(c: Column) -> Column:
+    """Length as a browser counts it: a character beyond U+FFFF is two."""
+    return F.octet_length(F.encode(c, "UTF-16BE")) / 2
+
+
 def page_without_query(page: Column) -> Column:
     """Text before the first ``?``."""
     return F.split(page, r"\?").getItem(0)
@@ -32,24 +37,27 @@ def checked_feedback(records: DataFrame) -> DataFrame:
     """Records with cleaned fields, the list of failed rules and a flag.
 
     Rules: some text or an image; name at most 20 characters, text at
-    most 2000, at most 9 images (characters are code points). A blank
-    name becomes the anonymous name.
+    most 2000, at most 9 images. As in a form field, characters are UTF-16
+    units of the value as entered, before it is trimmed. A blank name
+    becomes the anonymous name.
     """
-    text = js_trim(F.coalesce(F.col("text"), F.lit("")))
-    name = js_trim(F.coalesce(F.col("name"), F.lit("")))
+    raw_text, raw_name = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("name"), F.lit(""))
+    text, name = js_trim(raw_text), js_trim(raw_name)
     images = F.coalesce(F.col("images"), F.array().cast("array<string>"))
     cleaned = records.select(
         *[c for c in records.columns if c not in ("name", "text", "images", "page")],
         F.when(name == "", F.lit(dims.ANONYMOUS_NAME)).otherwise(name).alias("name"),
         text.alias("text"), images.alias("images"),
-        page_without_query(F.col("page")).alias("page"))
+        page_without_query(F.col("page")).alias("page"),
+        utf16_units(raw_name).alias("name_units"), utf16_units(raw_text).alias("text_units"))
     reasons = F.array_compact(F.array(
         F.when((F.col("text") == "") & (F.size("images") == 0), F.lit("empty")),
-        F.when(F.length("name") > dims.MAX_NAME_CHARS, F.lit("name_too_long")),
-        F.when(F.length("text") > dims.MAX_TEXT_CHARS, F.lit("text_too_long")),
+        F.when(F.col("name_units") > dims.MAX_NAME_CHARS, F.lit("name_too_long")),
+        F.when(F.col("text_units") > dims.MAX_TEXT_CHARS, F.lit("text_too_long")),
         F.when(F.size("images") > dims.MAX_IMAGES, F.lit("too_many_images")),
     ))
-    return cleaned.select("*", reasons.alias("reasons"), (F.size(reasons) == 0).alias("accepted"))
+    return (cleaned.select("*", reasons.alias("reasons"), (F.size(reasons) == 0).alias("accepted"))
+            .drop("name_units", "text_units"))
 
 
 def feedback_accepted(records: DataFrame) -> DataFrame:

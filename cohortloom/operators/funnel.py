@@ -26,20 +26,35 @@ from cohortloom.operators import experiment as X
 from cohortloom.plans.broadcast import dimension
 
 MAX_STEPS = 62   # the bitmask is a bigint
+COUNTRY_TABS = [dims.ALL_COUNTRIES, *(code for _, code in dims.FUNNEL_COUNTRY_CODES)]
 
 
-def default_steps() -> list[tuple]:
+def default_steps(screens: dict[str, str] | None = None) -> list[tuple]:
     """Sample step list for A and B from the named events: first open,
     successful sign-up, first-lesson event (group lesson ids), checkout
-    start. Rows: (grp, step_no, step, event_name, lesson_ids, require_success)."""
+    start. Rows: (grp, step_no, step, event_name, lesson_ids, require_success).
+
+    Screens have no event name by definition. ``screens`` names the events
+    of those to count (keys of ``dims.SCREENS``); each becomes a step of its
+    group after the step it follows there."""
     rows = []
     for grp, lessons in (("A", dims.LESSONS_A), ("B", dims.LESSONS_B)):
-        rows += [
-            (grp, 1, "first_open", dims.FIRST_OPEN, None, False),
-            (grp, 2, "signup", dims.SIGNUP_RESULT, None, True),
-            (grp, 3, "lesson_start", dims.LESSON_EVENT, [int(x) for x in lessons], False),
-            (grp, 4, "checkout_start", dims.CHECKOUT_EVENT, None, False),
+        steps = [
+            ("first_open", dims.FIRST_OPEN, None, False),
+            ("signup", dims.SIGNUP_RESULT, None, True),
+            ("lesson_start", dims.LESSON_EVENT, [int(x) for x in lessons], False),
+            ("checkout_start", dims.CHECKOUT_EVENT, None, False),
         ]
+        for owner, screen, follows in dims.SCREENS:
+            if owner == grp and screen in (screens or {}):
+                # a screen whose predecessor is not counted stands after the sign-up
+                names = [s[0] for s in steps]
+                at = names.index(follows if follows in names else "signup") + 1
+                steps.insert(at, (screen, screens[screen], None, False))
+        rows += [(grp, n, *s) for n, s in enumerate(steps, 1)]
+    unknown = set(screens or {}) - {s for _, s, _ in dims.SCREENS}
+    if unknown:
+        raise ValueError(f"unknown screens: {sorted(unknown)}")
     return rows
 
 
@@ -119,9 +134,12 @@ def device_funnel(stable: DataFrame, masks: DataFrame) -> DataFrame:
 
 
 def funnel_reach(devices: DataFrame, steps=None, by=("country_code",), all_label=dims.ALL_COUNTRIES,
-                 with_all: bool = True) -> DataFrame:
+                 with_all: bool = True, tabs=None) -> DataFrame:
     """(grp, <by>, step) -> assigned, reached (cumulative), hit (any order).
 
+    ``tabs`` lists values of a single ``by`` column that every group shows,
+    with zeros where it has no device.
+
     ``by`` columns get an extra "all" row from grouping sets that counts
     every device of the group (other and unknown countries included);
     ``grouping_id`` tells it apart from a null key.
@@ -134,6 +152,12 @@ def funnel_reach(devices: DataFrame, steps=None, by=("country_code",), all_label
                                         for b in by], "mask", "n")
     else:
         counts = devices.groupBy("grp", *by, "mask").agg(F.count(F.lit(1)).alias("n"))
+    if tabs:
+        (one,) = by
+        zero = F.lit(0).cast("bigint")
+        grid = steps_frame(devices.sparkSession, steps).select("grp").distinct()
+        counts = counts.unionByName(grid.select("grp", F.explode(F.array(*[F.lit(t) for t in tabs])).alias(one),
+                                                zero.alias("mask"), zero.alias("n")))
     s = steps_frame(devices.sparkSession, steps).select("grp", "step_no", "step", "ord").distinct()
     joined = counts.join(s, "grp", "inner")
     reached = depth(F.col("mask")) >= F.col("ord")
@@ -184,7 +208,7 @@ def country_funnel(events: DataFrame, assign_events: DataFrame, start, cutoff, s
     """R-5 end to end: assignment status -> stable devices -> masks -> reach."""
     status = X.assignment_status(assign_events, start, cutoff, platform)
     devices = device_funnel(X.stable_devices(status), step_masks(events, steps, cutoff=cutoff))
-    return funnel_reach(devices, steps)
+    return funnel_reach(devices, steps, tabs=COUNTRY_TABS)
 
 
 def funnel_by_country(reach: DataFrame, groups=None) -> DataFrame:

@@ -26,6 +26,15 @@ def method_days(report: DataFrame, method_start) -> DataFrame:
             .where(F.col("cohort_date") >= F.lit(str(method_start)).cast("date")))
 
 
+def _one_row_each(report: DataFrame, fields) -> DataFrame:
+    """The report's cells; raises where a (day, country) has several rows,
+    which would otherwise fan out."""
+    several = F.raise_error(F.lit("the report has several rows for a day and country")).cast("boolean")
+    return (report.groupBy("cohort_date", "country_code")
+            .agg(F.count(F.lit(1)).alias("rows"), *[F.max(f).alias(f) for f in fields])
+            .where(F.when(F.col("rows") == 1, F.lit(True)).otherwise(several)).drop("rows"))
+
+
 def method_matrix_tall(report: DataFrame, method_start=dims.DEFAULT_METHOD_START,
                        countries=None, fields=None) -> DataFrame:
     """One row per (country, day) over the fixed country list × report
@@ -36,7 +45,7 @@ def method_matrix_tall(report: DataFrame, method_start=dims.DEFAULT_METHOD_START
     grid = (method_days(report, method_start)
             .select("cohort_date", F.explode(_country_dim(cs)).alias("c"))
             .select("cohort_date", "c.sort_no", "c.country_code"))
-    cells = report.select("cohort_date", "country_code", *fs)
+    cells = _one_row_each(report, fs)
     joined = grid.join(cells, ["cohort_date", "country_code"], "left")
     return joined.select("country_code", "sort_no", "cohort_date",
                          *[F.coalesce(F.col(f).cast("bigint"), F.lit(0).cast("bigint")).alias(f) for f in fs])

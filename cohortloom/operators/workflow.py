@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import dims
 
-RELEASE_REQUIRED = ["name", "module", "type", "priority", "brief"]
+# fields of the record that execution fills after the hand-over
+EXECUTION_FIELDS = ["owner", "dev", "tester", "submit_date", "release_date", "prd_doc", "ui_doc", "tech_doc"]
+RELEASE_REQUIRED = ["name", "module", "type", "priority", *EXECUTION_FIELDS, "brief"]
 
 
 def normalize_version(v: Column) -> Column:
@@ -44,7 +46,8 @@ def pool_to_release(pool: DataFrame) -> DataFrame:
     title -> name and requester unchanged; module as is; priority P0-P3
     -> P0-P2 (P3 becomes P2 and is marked for re-rating); V-prefixed
     release version -> app version; backend version kept; assessment
-    note -> brief; type = product requirement; dates left for execution.
+    note -> brief; type = product requirement; people, dates and documents
+    left for execution.
     """
     p = F.col("priority")
     app_version = normalize_version(F.col("release_version"))
@@ -62,8 +65,7 @@ def pool_to_release(pool: DataFrame) -> DataFrame:
         F.col("note").alias("brief"),
         F.lit(dims.RELEASE_STATUS_CHAIN[0]).alias("status"),
         F.col("product"),
-        F.lit(None).cast("date").alias("submit_date"),
-        F.lit(None).cast("date").alias("release_date"),
+        *[F.lit(None).cast("date" if c.endswith("_date") else "string").alias(c) for c in EXECUTION_FIELDS],
         version_track_ok(F.col("product"), app_version, backend).alias("valid_version_track"),
     )
 
@@ -125,7 +127,7 @@ def dependency_check(pool: DataFrame) -> DataFrame:
 
 
 def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | (F.trim(c.cast("string")) == "")
 
 
 def release_missing_fields(release: DataFrame) -> DataFrame:

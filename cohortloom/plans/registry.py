@@ -126,11 +126,11 @@ def assignment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return experiment.assignment_status(assign, FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
 
 
-def funnel_table(spark: SparkSession, sf_dir: str, by=("country_code",)) -> DataFrame:
+def funnel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = FX.app_events(spark, sf_dir)
     status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
     devices = funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev, cutoff=FX.ASSIGN_CUTOFF))
-    return funnel.funnel_reach(devices, by=by)
+    return funnel.funnel_reach(devices, tabs=funnel.COUNTRY_TABS)
 
 
 @register("assignment_status")
@@ -220,7 +220,7 @@ def q_order_totals(spark, sf_dir):
 def q_verdict_state(spark, sf_dir):
     status, devices = _devices(spark, sf_dir)
     gaps = FX.FIXTURE_GAPS
-    metrics = funnel.funnel_metrics(funnel.funnel_reach(devices), gaps)
+    metrics = funnel.funnel_metrics(funnel.funnel_reach(devices, tabs=funnel.COUNTRY_TABS), gaps)
     completeness = alerts.event_completeness(alerts.reach_by_version(devices), gaps=gaps)
     return payments.verdict_state(metrics, completeness, orders_table(spark, sf_dir, status))
 
@@ -269,8 +269,8 @@ RELEASE_VERSION = "1.3.0"
 
 @register("pool_to_release")
 def q_pool_to_release(spark, sf_dir):
-    # execution dates are empty at hand-over; the view leaves them out
-    return workflow.pool_to_release(workflow.pool_clean(FX.pool_table(spark, sf_dir))).drop("submit_date", "release_date")
+    # the execution fields are empty at hand-over; the view leaves them out
+    return workflow.pool_to_release(workflow.pool_clean(FX.pool_table(spark, sf_dir))).drop(*workflow.EXECUTION_FIELDS)
 
 
 @register("handoff_missing")

@@ -103,7 +103,7 @@ POOL = T.StructType([T.StructField(c, T.StringType()) for c in (
 RELEASE = T.StructType(
     [T.StructField(c, T.StringType()) for c in (
         "id", "name", "module", "type", "priority", "app_version", "backend_version",
-        "requester", "brief", "status", "product")]
+        "requester", "brief", "status", "product", "owner", "dev", "tester", "prd_doc", "ui_doc", "tech_doc")]
     + [T.StructField("submit_date", T.DateType()), T.StructField("release_date", T.DateType())])
 
 STATUS_LOG = T.StructType([

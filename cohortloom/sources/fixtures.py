@@ -42,6 +42,12 @@ RELEASE_VERSION_CHANGED = "1.9.9"
 OTHER_RELEASE_TYPES = ["紧急Bug", "研发优化", "体验优化"]
 # speech / feedback
 FEEDBACK_BLANK_TEXT = " \t\n "
+FEEDBACK_LONG_NAME = "x" * 20
+# release table: (field, prefix of its text, divisor and remainder of the keys that leave it empty)
+RELEASE_TEXTS = [("owner", "own", 11, 0), ("dev", "dev", 13, 0), ("tester", "qa", 6, 0),
+                 ("prd_doc", "prd/", 8, 3), ("ui_doc", "ui/", 5, 2), ("tech_doc", "tech/", 7, 4)]
+# (field, first day, divisor and remainder of the keys that leave it empty)
+RELEASE_DATES = [("submit_date", "2026-07-01", 9, 0), ("release_date", "2026-08-01", 10, 1)]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -189,6 +195,7 @@ def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = docs.select(
         did,
         F.when((did % 3) == 0, F.lit(None).cast("string"))
+         .when((did % 19) == 0, F.concat(F.lit("n"), did.cast("string"), F.lit(FEEDBACK_LONG_NAME)))
          .otherwise(F.concat(F.lit("n"), did.cast("string"))).alias("name"),
         F.when((did % 10) == 0, F.lit(FEEDBACK_BLANK_TEXT)).otherwise(F.col("text")).alias("text"),
         images.alias("images"),
@@ -233,9 +240,17 @@ def pool_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _execution_fields(key: Column) -> dict[str, Column]:
+    out = {name: F.when((key % n) != r, F.concat(F.lit(prefix), key.cast("string"))) for name, prefix, n, r in RELEASE_TEXTS}
+    for name, first, n, r in RELEASE_DATES:
+        out[name] = F.when((key % n) != r, F.date_add(F.lit(first).cast("date"), (key % 30).cast("int")))
+    return out
+
+
 def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Release table: product requirements handed over from the pool,
-    plus the other three source types from ``supplier``."""
+    plus the other three source types from ``supplier``; execution fields
+    filled by key, each left empty for some."""
     from cohortloom.operators.workflow import pool_to_release
 
     pool = pool_table(spark, sf_dir)
@@ -243,6 +258,7 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     handed = (pool_to_release(pool.where((pk % 5) != 0))
               .withColumn("app_version", F.when((pk % 7) == 0, F.lit(RELEASE_VERSION_CHANGED))
                           .otherwise(F.col("app_version")))
+              .withColumns(_execution_fields(pk))
               .withColumn("status", _pick(dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS], pk % 8)))
     sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     sk = F.col("s_suppkey")
@@ -258,8 +274,7 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("brief"),
         _pick(dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS], sk % 8).alias("status"),
         F.lit(dims.APP_PRODUCT).alias("product"),
-        F.lit(None).cast("date").alias("submit_date"),
-        F.lit(None).cast("date").alias("release_date"),
+        *[c.alias(name) for name, c in _execution_fields(sk).items()],
     )
     return handed.select(*others.columns).unionByName(others)
 

@@ -102,6 +102,35 @@ def test_small_sample_flags_both_groups(spark):
     assert m[("A", "MY")]            # B absent counts as 0
 
 
+def test_every_tab_has_a_row_per_group(spark):
+    devices = spark.createDataFrame([("u", "A", "VN", "1.0", 2), ("v", "B", "JP", "1.0", 0)],
+                                    "user_pseudo_id string, grp string, country_code string, app_version string, mask bigint")
+    reach = funnel.funnel_reach(devices, tabs=funnel.COUNTRY_TABS)
+    got = {(r["grp"], r["country_code"], r["step_no"]): (r["assigned"], r["reached"]) for r in reach.collect()}
+    for g in "AB":
+        for tab in funnel.COUNTRY_TABS:
+            assert {n for gg, c, n in got if (gg, c) == (g, tab)} == {1, 2, 3, 4}
+    assert got[("A", "VN", 1)] == (1, 1) and got[("B", "VN", 1)] == (0, 0) and got[("B", "ALL", 1)] == (1, 0)
+    assert got[("B", "JP", 1)] == (1, 0) and ("A", "JP", 1) not in got
+    metrics = {(r["grp"], r["country_code"], r["step_no"]): r for r in funnel.funnel_metrics(reach).collect()}
+    assert metrics[("B", "KR", 2)]["step_rate"] is None and metrics[("B", "KR", 1)]["small_sample"]
+    assert funnel.country_tab(reach, "KR").count() == 8
+
+
+def test_screens_become_steps_that_known_gaps_match(spark):
+    steps = funnel.default_steps({"study_plan": "study_plan_view", "paywall_1": "paywall_view"})
+    assert [s[2] for s in steps if s[0] == "B"] == ["first_open", "signup", "study_plan", "paywall_1", "lesson_start", "checkout_start"]
+    assert [s[2] for s in steps if s[0] == "A"] == ["first_open", "signup", "lesson_start", "checkout_start"]
+    assert [s[1] for s in steps if s[0] == "B"] == [1, 2, 3, 4, 5, 6]
+    assert [s[2] for s in funnel.default_steps({"paywall_1": "x"}) if s[0] == "B"][2] == "paywall_1"
+    with pytest.raises(ValueError):
+        funnel.default_steps({"paywall_9": "x"})
+    rows = [assign("b", "B"), ev("first_open", "2024-01-05", "11:00", "b"), ev("study_plan_view", "2024-01-05", "12:00", "b")]
+    reach, _, _ = funnel_rows(spark, rows, steps)
+    flagged = {r["step"] for r in funnel.funnel_metrics(reach).where("is_known_gap").collect()}
+    assert flagged == {"study_plan", "paywall_1"}
+
+
 def test_step_rates_and_gap_flag(spark):
     rows = [("B", "ALL", 1, "first_open", 10, 10, 10), ("B", "ALL", 2, "study_plan", 10, 5, 6),
             ("B", "ALL", 3, "paywall_1", 10, 0, 1)]

@@ -31,6 +31,16 @@ def test_feedback_rules(spark):
     assert acc + rej == len(rows)
 
 
+def test_feedback_limits_count_utf16_units_before_trim(spark):
+    rows = [("x" * 18 + "\U0001F600", "ok", [], "c", "p", "d"),     # 20 units
+            ("x" * 19 + "\U0001F600", "ok", [], "c", "p", "d"),     # 20 code points, 21 units
+            (" " + "x" * 20, "ok", [], "c", "p", "d"),               # 20 after the trim, 21 as entered
+            ("n", "\U0001F600" * 1000, [], "c", "p", "d"),
+            ("n", "y" * 2000 + " ", [], "c", "p", "d")]
+    got = [",".join(r["reasons"]) for r in feedback.checked_feedback(records(spark, rows)).collect()]
+    assert got == ["", "name_too_long", "name_too_long", "", "text_too_long"]
+
+
 def test_routes_need_links(spark):
     triage = spark.createDataFrame([(1, "pool", None), (2, "test", "t1"), (3, "direct", None), (4, "pool", "t9")],
                                    "doc_id long, destination string, link string")
@@ -101,7 +111,15 @@ def test_release_list_and_types(spark):
     t = {(x["app_version"], x["type"]): x["items"] for x in workflow.release_by_type(r).collect()}
     assert t[("1.3.0", "产品需求")] == 1 and t[("1.3.0", "体验优化")] == 0 and len(t) == 8
     miss = {x["id"]: x["missing"] for x in workflow.release_missing_fields(r).collect()}
-    assert miss["1"] == "module,priority,brief"
+    assert miss["1"] == ("module,priority,owner,dev,tester,submit_date,release_date,prd_doc,ui_doc,tech_doc,brief")
+
+
+def test_test_tables_lack_each_execution_field_somewhere(spark):
+    from cohortloom.sources import fixtures as FX
+    rows = workflow.release_missing_fields(FX.release_table(spark, "/root/testdata/sf0.001")).collect()
+    seen = {f for r in rows for f in r["missing"].split(",")}
+    assert set(workflow.EXECUTION_FIELDS) <= seen
+    assert any("," in r["missing"] for r in rows)
 
 
 def test_status_chain(spark):

@@ -27,6 +27,11 @@ def report(spark):
     return spark.createDataFrame(rows, schemas.SIGNUP_REPORT)
 
 
+def test_repeated_report_row_raises(report):
+    with pytest.raises(Exception, match="several rows for a day and country"):
+        reshape.method_matrix_tall(report.union(report.limit(1)), "2024-01-01").collect()
+
+
 def test_dense_matrix_keeps_calendar_gaps(report):
     tall = reshape.method_matrix_tall(report, "2024-01-02")
     assert tall.count() == 7 * 2          # days 01-03 and 01-04 only; 01-02 is not invented
