@@ -65,6 +65,28 @@ def test_chain_of_edits_and_copies(docs_df):
     assert all((r["doc_id"] == r["component_id"]) == r["kept"] for r in got.collect())
 
 
+def test_outsiders_link_to_members_of_a_large_group(docs_df):
+    """A centre with 40 one-word edits of it; outsiders are near copies of
+    one edit each but not of the centre, and some texts are near none."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(500, " ".join(base))]
+    for i in range(40):
+        copy = list(base)
+        copy[2 * i] = f"c{i}"
+        rows.append((501 + i, " ".join(copy)))
+        for more, first in ((5, 100), (5, 200), (9, 300)):
+            if i < 12:
+                other = list(copy)
+                for at in rng.sample([x for x in range(1, 99, 3) if abs(x - 2 * i) > 1], more):
+                    other[at] = f"o{first + i}x{at}"
+                rows.append((first + i, " ".join(other)))
+    want = brute(rows, 2)
+    assert len({c for _, c in want.values()}) > 1            # the far ones stand alone
+    assert want[500][1] == want[100][1] == 100                # outsiders joined the group through its members
+    assert result(minhash.near_dups(docs_df(rows), shingle=2)) == want
+
+
 def test_edges(docs_df):
     rows = [(5, None), (6, ""), (7, " \t\n"), (8, "one"), (9, "ONE"), (3, "a b"), (4, "a  b"), (10, "café É"), (11, "café é"),
             (12, "x" * 50000), (None, "a b"), (3, "a b")]
