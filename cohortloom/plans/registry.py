@@ -303,6 +303,11 @@ def q_release_list(spark, sf_dir):
     return workflow.release_list(FX.release_table(spark, sf_dir), RELEASE_VERSION)
 
 
+@register("release_list_product")
+def q_release_list_product(spark, sf_dir):
+    return workflow.release_list(FX.release_table(spark, sf_dir), RELEASE_VERSION, dims.APP_PRODUCT)
+
+
 @register("release_by_type")
 def q_release_by_type(spark, sf_dir):
     return workflow.release_by_type(FX.release_table(spark, sf_dir))
@@ -358,6 +363,11 @@ def q_funnel_by_country(spark, sf_dir):
     return funnel.funnel_by_country(funnel_table(spark, sf_dir))
 
 
+@register("country_tab")
+def q_country_tab(spark, sf_dir):
+    return funnel.country_tab(funnel_table(spark, sf_dir), "KR")
+
+
 @register("lesson_reach")
 def q_lesson_reach(spark, sf_dir):
     status = assignment_table(spark, sf_dir)
