@@ -12,11 +12,17 @@ Two kinds of unit are compared.
   least hash of every ``ANCHORS`` consecutive windows is an anchor. Any
   passage of ``WINDOW + ANCHORS - 1`` = 50 or more words that two
   documents share has a common anchor. Windows with equal hashes are equal
-  texts (Jaccard 1); overlapping repeated windows of a document are joined
-  into one passage.
-
-Within a cluster the unit that comes first (least doc_id, then place) is
-kept, all others are removals. Equal units are one row in candidate search
+  texts (Jaccard 1). The keeper of a window is the first document that
+  holds it; touching windows of a document are joined into one passage as
+  long as they lie in one passage of the same keeper. Passages of keepers
+  that share a window (a text that repeats in its keeper) are one cluster,
+  found as components.
+
+Within a paragraph cluster the unit that comes first (least doc_id, then
+place) is kept, all others are removals. A passage is removed unless its
+document is its keeper. What is removed always stands in an earlier
+document, so by descent every removed word stands in one that is kept,
+whether passages nest, overlap or have several keepers. Equal units are one row in candidate search
 whatever their number; anchors are counted before they are joined back, so
 a passage that a third of all documents share is never gathered.
 
@@ -74,19 +80,33 @@ def _anchors(batches):
             ], names=["doc_id", "mark", "place"])
 
 
+def _runs(rows: DataFrame, *part: str) -> DataFrame:
+    """``rows`` with the first place of the run of touching windows they are in."""
+    order = Window.partitionBy(*part).orderBy("place", "mark")
+    before = F.coalesce(F.lag("place").over(order), F.lit(-2 * WINDOW))
+    rows = rows.withColumn("start", F.when(F.col("place") > before + WINDOW, F.col("place")))
+    return rows.withColumn("start", F.max("start").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+
 def passages(read: DataFrame) -> DataFrame:
-    """Repeated passages: doc_id, place (first word), n_words, cluster, keeper."""
+    """Repeated passages: doc_id, place (first word), n_words, cluster, keeper, removed."""
     marks = C.saved(read.mapInArrow(_anchors, "doc_id long, mark long, place int"))
     shared = (marks.groupBy("mark").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
               .where("keeper <> last").drop("last"))
-    found = marks.join(shared, "mark")
-    order = Window.partitionBy("doc_id").orderBy("place", "mark")
-    reach = F.max("place").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    found = found.withColumn("new", (F.col("place") > F.coalesce(reach, F.lit(-2 * WINDOW)) + WINDOW).cast("int"))
-    found = found.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return found.groupBy("doc_id", "island").agg(
-        F.min("place").alias("place"), (F.max("place") - F.min("place") + WINDOW).alias("n_words"),
-        F.min("mark").alias("cluster"), F.min("keeper").alias("keeper")).drop("island")
+    own = C.saved(_runs(marks.join(shared.withColumnRenamed("keeper", "doc_id"), ["mark", "doc_id"]), "doc_id"))
+    # a window's home is its first run in its keeper; homes that share a window are one cluster
+    run = F.struct("doc_id", "start")
+    home = own.groupBy("mark").agg(F.min(run).alias("home"))
+    root = C.components(own.join(home, "mark").select(run.alias("a"), F.col("home").alias("b")))
+    home = C.saved(home.join(root.withColumnRenamed("node", "home"), "home", "left")
+                   .select("mark", "home", F.xxhash64(F.coalesce("root", "home")).alias("cluster")))
+    # the windows of other documents fall into runs of one home each, so a run has one keeper
+    held = _runs(marks.join(home, "mark").where(F.col("doc_id") != F.col("home.doc_id")), "doc_id", "home")
+    rows = (held.select("doc_id", "home", "start", "place", "cluster")
+            .union(own.join(home.select("mark", "cluster"), "mark").select("doc_id", run.alias("home"), "start", "place", "cluster")))
+    return (rows.groupBy("doc_id", "home", "start").agg((F.max("place") - F.col("start") + WINDOW).alias("n_words"), F.min("cluster").alias("cluster"))
+            .select("doc_id", F.col("start").alias("place"), "n_words", "cluster", F.col("home.doc_id").alias("keeper"),
+                    (F.col("doc_id") != F.col("home.doc_id")).alias("removed")))
 
 
 def paragraphs(read: DataFrame) -> DataFrame:
@@ -111,6 +131,5 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keeper (doc_id of the unit that stays), removed."""
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     one = paragraphs(read).select("doc_id", F.lit("paragraph").alias("kind"), "place", "n_words", "cluster", "keeper", "removed")
-    two = passages(read).select("doc_id", F.lit("passage").alias("kind"), "place", "n_words", "cluster", "keeper",
-                                (F.col("doc_id") != F.col("keeper")).alias("removed"))
+    two = passages(read).select("doc_id", F.lit("passage").alias("kind"), "place", "n_words", "cluster", "keeper", "removed")
     return one.union(two)

@@ -53,6 +53,32 @@ def test_planted_passages_and_paragraphs(docs_df):
     assert substrings.repeats(docs_df([])).count() == 0
 
 
+def left_over(rows, docs):
+    """Words that stay when all removed passages are cut out."""
+    cut = defaultdict(set)
+    for r in rows:
+        if r["kind"] == "passage" and r["removed"]:
+            cut[r["doc_id"]] |= set(range(r["place"], r["place"] + r["n_words"]))
+    return [w for i, t in docs for p, w in enumerate((t or "").split()) if p not in cut[i]]
+
+
+def test_nested_and_overlapping_passages_lose_no_word(docs_df):
+    rng = random.Random(5)
+    w, x, y = ([f"{c}{k}" for k in range(n)] for c, n in (("w", 200), ("x", 300), ("y", 60)))
+    own = lambda: text_of(rng, 40).split()
+    parts = {1: w[:100], 5: w, 9: w, 10: x[:160], 11: x[80:240], 12: x[180:], 13: x, 20: y + own() + y, 21: y}
+    docs = [(i, " ".join(own() + p + own())) for i, p in parts.items()]
+    out = [r for r in substrings.repeats(docs_df(docs)).collect() if r["kind"] == "passage"]
+    assert {v for _, t in docs for v in t.split()} - set(left_over(out, docs)) == set()
+    first = {i: len(t.split()) - 40 - len(parts[i]) for i, t in docs}
+    cut = {p - first[9] for r in out if r["doc_id"] == 9 for p in range(r["place"], r["place"] + r["n_words"]) if r["removed"]}
+    assert set(range(20, 180)) <= cut <= set(range(200))
+    kept = {(r["cluster"], r["doc_id"]) for r in out if not r["removed"]}
+    assert all((r["cluster"], r["keeper"]) in kept for r in out)
+    assert {r["keeper"] for r in out if r["doc_id"] == 9} == {1, 5}
+    assert len({r["cluster"] for r in out if r["doc_id"] in (20, 21)}) == 1
+
+
 def smith_waterman(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
