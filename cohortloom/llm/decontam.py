@@ -1,16 +1,14 @@
-"""Operator 8: benchmark decontamination by rare seeds and alignment.
+"""Operator 8: benchmark decontamination by seeds and alignment.
 
  1. Every three-word run of every test item is a seed. One pass over the
     texts finds the places of all seeds. A seed filter of 2^22 bits (its
     size is fixed, whatever the benchmark) drops most other runs inside
     the scan; the equi-join with the seeds themselves decides.
- 2. Seeds are counted in the corpus. An item keeps its rare seeds: those
-    found in at most ``RARE`` times as many texts as its median seed. Words
-    shared by chance drop out, while an item that leaked into very many
-    texts keeps its own seeds, since they are all equally frequent.
- 3. Two different rare seeds of an item on nearby diagonals of a text make
-    a candidate window.
- 4. Smith-Waterman local alignment of item and window (match 2, mismatch
+ 2. Two different seeds of an item on nearby diagonals of a text make a
+    candidate window. How often a seed is found plays no part: words shared
+    by chance rarely meet on a diagonal, and a leak stays one however
+    frequent it is.
+ 3. Smith-Waterman local alignment of item and window (match 2, mismatch
     and gap -1) scores it: score / (2 x item words). From ``THRESHOLD`` the
     text holds the item, as it is, edited or paraphrased in part.
 
@@ -36,7 +34,6 @@ from cohortloom.llm import common as C
 
 SEED = 3
 MIN_ITEM = 6
-RARE = 4.0
 DIAGONAL = 16
 THRESHOLD = 0.5
 FILTER_BITS = 22
@@ -136,11 +133,7 @@ def leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: s
     texts = docs.select(_text_key(text_col).alias("text_key"), F.lower(F.col(text_col).cast("string")).alias("text")).where("text is not null")
     places = texts.mapInArrow(_places(known), "text_key binary, seed long, at int").distinct()
     places = C.saved(places.join(seeds.select("seed").distinct(), "seed"))
-    count = places.select("seed", "text_key").distinct().groupBy("seed").agg(F.count("*").alias("n"))
-    used = seeds.join(count, "seed")
-    middle = used.groupBy("item_id").agg(F.percentile_approx("n", 0.5).alias("middle"))
-    rare = used.join(middle, "item_id").where(F.col("n") <= RARE * F.col("middle")).select("item_id", "seed", F.col("at").alias("item_at"))
-    hits = places.join(rare, "seed").withColumn("d", F.col("at") - F.col("item_at"))
+    hits = places.join(seeds.withColumnRenamed("at", "item_at"), "seed").withColumn("d", F.col("at") - F.col("item_at"))
     # two overlapping cuts of the diagonals, so close diagonals always meet
     cuts = F.array(F.floor(F.col("d") / DIAGONAL) * 2, F.floor((F.col("d") + DIAGONAL // 2) / DIAGONAL) * 2 + 1)
     windows = (hits.select("text_key", "item_id", "item_at", "d", F.explode(cuts).alias("cut"))

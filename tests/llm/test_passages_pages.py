@@ -134,6 +134,18 @@ def test_edited_items_and_edges(spark, docs_df):
     assert decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_a_frequent_edited_copy_is_a_leak(spark, docs_df):
+    rng = random.Random(21)
+    item = [f"q{k}" for k in range(20)]
+    edited = [f"z{k}" if k in (3, 7, 11, 15) else w for k, w in enumerate(item)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(0, f"{text_of(rng, 30)} {' '.join(item)} {text_of(rng, 30)}")]
+    rows += [(i, f"{text_of(rng, 30)} {' '.join(edited)} {text_of(rng, 30)}") for i in range(1, 40)]
+    rows += [(i, text_of(rng, 80)) for i in range(40, 50)]
+    got = {r["doc_id"]: r["score"] for r in decontam.contaminated(docs_df(rows), bench).collect()}
+    assert got == {0: 1.0} | dict.fromkeys(range(1, 40), 0.7)
+
+
 def article(page):
     m = re.search(r"<article>(.*?)(</article>|\Z)", page or "", re.S)
     parts = re.split(r"</?(?:p|h1)>", m[1]) if m else []
