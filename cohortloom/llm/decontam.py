@@ -1,25 +1,31 @@
-"""Operator 8: benchmark decontamination by seeds and alignment.
-
- 1. Every three-word run of every test item is a seed. One pass over the
-    texts finds the places of all seeds. A seed filter of 2^22 bits (its
-    size is fixed, whatever the benchmark) drops most other runs inside
-    the scan; the equi-join with the seeds themselves decides.
- 2. Two different seeds of an item on nearby diagonals of a text make a
-    candidate window. How often a seed is found plays no part: words shared
-    by chance rarely meet on a diagonal, and a leak stays one however
+"""Operator 8: benchmark decontamination by gapped seeds and alignment.
+
+ 1. Seeds of a test item are its word pairs one or two places apart; an
+    item of fewer than ``MIN_ITEM`` words has its whole word sequence as one
+    seed. Text pairs one or two places apart are looked up in them, so that
+    a replaced, added or left out word between two equal ones does no harm.
+    The benchmark is searched in slices of about ``SLICE`` words, one pass
+    over the texts each, whose seeds a worker holds; nothing but the found
+    leaks leaves the pass.
+ 2. Seeds of an item on nearby diagonals of a text make a candidate window.
+    An alignment of m matches and e errors scores 2m - e, so from
+    ``THRESHOLD`` t on an item of n words at least m - 1 - e/2 >= tn - 1
+    neighbouring matches have at most one error between them. Each of them
+    is a seed, and their diagonals are at most e <= 2n(1 - t) apart. Windows
+    with so many different seeds miss nothing that the threshold accepts.
+    How often a seed is found plays no part: a leak stays one however
     frequent it is.
  3. Smith-Waterman local alignment of item and window (match 2, mismatch
     and gap -1) scores it: score / (2 x item words). From ``THRESHOLD`` the
-    text holds the item, as it is, edited or paraphrased in part.
+    text holds the item, as it is, edited or paraphrased in part; a short
+    item is held as it is only.
 
-Copies are searched once: candidates are keyed by the text's digest and
-joined back to all documents that have it. A filter like the one for seeds
-leaves only candidate texts for the alignment's joins.
+A text's leaks are keyed by its digest and joined back to all documents
+that have it.
 
 Defined results: words are runs of ASCII letters and digits and of any
-other non-ASCII characters, after lower-casing; null and empty texts hold nothing; items of fewer than
-``MIN_ITEM`` words cannot be told from chance and are not searched; an
-item listed twice counts once; a null id is reported as null; extra
+other non-ASCII characters, after lower-casing; null and empty texts hold nothing; items without words are
+in no text; an item listed twice counts once; a null id is reported as null; extra
 columns are ignored; an empty table gives no rows.
 """
 
@@ -32,11 +38,13 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm import common as C
 
-SEED = 3
 MIN_ITEM = 6
-DIAGONAL = 16
+PAIRS = ((0, 1), (0, 2))
 THRESHOLD = 0.5
 FILTER_BITS = 22
+SLICE = 1 << 17
+#: Hits of seeds that are held at a time; a text with more is searched in overlapping parts.
+HITS = 1 << 21
 _MATCH, _MISS, _GAP = 2, -1, -1
 
 
@@ -52,40 +60,30 @@ def _word_rows(table):
     return run
 
 
-def _seeds(batches):
-    for batch in batches:
-        for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            h = np.frombuffer(words, np.uint64)
-            s, _ = C.shingles(h, np.array([0, len(h)]), SEED)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([item] * len(s), pa.int64()), pa.array(s.view(np.int64)), pa.array(np.arange(len(s), dtype=np.int32))],
-                names=["item_id", "seed", "at"])
+def _gram(h, steps, salt):
+    """Hash of the words at ``steps`` from each place where they all exist."""
+    n = max(len(h) - steps[-1], 0)
+    out = np.full(n, salt, np.uint64)
+    for j in steps:
+        out = C.mix(out * np.uint64(0x2545F4914F6CDD1D) + h[j:j + n])
+    return out
 
 
-def _places(bits):
-    def run(batches):
-        for batch in batches:
-            data, off = C.text_bytes(batch.column(1))
-            for a, b in C.row_chunks(off):
-                _, _, h, woff = C.words(data[off[a]:off[b]], off[a:b + 1] - off[a], C.PLAIN_WORDS)
-                s, soff = C.shingles(h, woff, SEED)
-                at = np.flatnonzero(C.in_filter(bits, s))
-                row = np.searchsorted(soff, at, "right") - 1
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(a + row)), pa.array(s[at].view(np.int64)), pa.array((at - soff[row]).astype(np.int32))],
-                    names=["text_key", "seed", "at"])
-    return run
+def _grams(h, short):
+    """(seeds by place, last step) of the pairs and of the whole sequences of ``short`` words."""
+    yield from ((_gram(h, steps, 0), steps[-1]) for steps in PAIRS)
+    yield from ((_gram(h, range(k), k), k - 1) for k in short)
 
 
-def _chosen_words(bits):
-    def run(batches):
-        for batch in batches:
-            tag = np.frombuffer(b"".join(k[:4] for k in batch.column(0).to_pylist()), ">u4")
-            on = np.flatnonzero(C.in_filter(bits, tag))
-            part = batch.take(pa.array(on))
-            for out in _word_rows(C.PLAIN_WORDS)([part]):
-                yield out.rename_columns(["text_key", "words"])
-    return run
+def _table(words):
+    """Sorted seeds of some items, with their item numbers and places."""
+    parts = [(i, x) for i, h in enumerate(words)
+             for x in ([_gram(h, range(len(h)), len(h))] if len(h) < MIN_ITEM else [_gram(h, steps, 0) for steps in PAIRS])]
+    seed = np.concatenate([x for _, x in parts])
+    owner = np.concatenate([np.full(len(x), i) for i, x in parts])
+    place = np.concatenate([np.arange(len(x)) for _, x in parts])
+    order = np.argsort(seed, kind="stable")
+    return seed[order], owner[order], place[order]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -104,57 +102,97 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _score(batches):
-    for batch in batches:
-        got = [align(np.frombuffer(i, np.uint64), np.frombuffer(t, np.uint64))
-               for i, t in zip(batch.column("item_words").to_pylist(), batch.column("window").to_pylist())]
-        size = np.array([len(i) // 8 for i in batch.column("item_words").to_pylist()], dtype=float)
-        score = np.array([s for s, _ in got], dtype=float) / (_MATCH * np.maximum(size, 1))
-        end = batch.column("first").to_numpy() + np.array([e for _, e in got], dtype=np.int32)
-        yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("item_id"), pa.array(score), pa.array(end.astype(np.int32))],
-                                         names=["text_key", "item_id", "score", "last_word"])
+def _windows(at, row, lo, count, owner, place, need, drift):
+    """(row, item number, least and largest diagonal) of places with enough seeds of an item."""
+    idx = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+    i, q, r, d = owner[idx], place[idx], np.repeat(row, count), np.repeat(at, count) - place[idx]
+    # two overlapping cuts of the diagonals, each twice as wide as a match may drift
+    cut = d // drift[i]
+    i, q, r, d, cut = (np.concatenate(x) for x in ((i, i), (q, q), (r, r), (d, d), (cut, cut - 1)))
+    order = np.lexsort((q, cut, i, r))
+    i, q, r, d, cut = (x[order] for x in (i, q, r, d, cut))
+    new = np.ones(len(i), bool)
+    new[1:] = (i[1:] != i[:-1]) | (r[1:] != r[:-1]) | (cut[1:] != cut[:-1])
+    other = new.copy()
+    other[1:] |= q[1:] != q[:-1]
+    g = np.flatnonzero(new)
+    good = np.add.reduceat(other.astype(np.int64), g) >= need[i[g]]
+    return np.unique(np.stack([r[g], i[g], np.minimum.reduceat(d, g), np.maximum.reduceat(d, g)], axis=1)[good], axis=0)
+
+
+def _search(items):
+    """text_key, item_id, score, last_word of the items (item_id, words) that texts hold."""
+    def run(batches):
+        ids, words = [i for i, _ in items], [np.frombuffer(w, np.uint64) for _, w in items]
+        seed, owner, place = _table(words)
+        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        low = seed & np.uint64((1 << FILTER_BITS) - 1)
+        np.bitwise_or.at(bits, low >> np.uint64(6), np.uint64(1) << (low & np.uint64(63)))
+        size = np.array([len(w) for w in words])
+        whole = size < MIN_ITEM
+        need = np.where(whole, 1, np.ceil(THRESHOLD * size) - 1)
+        drift = np.ceil(2 * (1 - THRESHOLD) * size).astype(np.int64)
+        short, over = sorted(set(size[whole].tolist())), int((size + drift).max()) + 2
+
+        def parts(hits, a, b):
+            """Hits in pieces of a bounded number; pieces overlap by the reach of a match."""
+            inside = (hits[0] >= a) & (hits[0] < b)
+            on = [x[inside] for x in hits]
+            if on[3].sum() <= HITS or b - a <= 4 * over:
+                yield on
+                return
+            middle = (a + b) // 2
+            yield from parts(on, a, middle + over)
+            yield from parts(on, middle, b)
+
+        for batch in batches:
+            data, off = C.text_bytes(batch.column(1))
+            for a, b in C.row_chunks(off):
+                _, _, h, woff = C.words(data[off[a]:off[b]], off[a:b + 1] - off[a], C.PLAIN_WORDS)
+                hits = []
+                for s, reach in _grams(h, short):
+                    at = np.flatnonzero(C.in_filter(bits, s))
+                    row = np.searchsorted(woff, at, "right") - 1
+                    lo = np.searchsorted(seed, s[at], "left")
+                    count = np.searchsorted(seed, s[at], "right") - lo
+                    on = (count > 0) & (at + reach < woff[row + 1])
+                    hits.append((at[on], row[on], lo[on], count[on]))
+                found = []
+                for at, row, lo, count in parts([np.concatenate(x) for x in zip(*hits)], 0, len(h)):
+                    if not len(at):
+                        continue
+                    for r, i, d0, d1 in _windows(at - woff[row], row, lo, count, owner, place, need, drift).tolist():
+                        wide = 0 if whole[i] else int(drift[i])
+                        first = max(0, d0 - wide)
+                        score, end = align(words[i], h[woff[r] + first:min(woff[r + 1], woff[r] + d1 + int(size[i]) + wide)])
+                        if score >= THRESHOLD * _MATCH * size[i]:
+                            found.append((a + r, ids[i], score / (_MATCH * float(size[i])), first + end))
+                rows, item, score, end = zip(*found) if found else ((),) * 4
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(rows, pa.int64())), pa.array(item, pa.int64()), pa.array(score, pa.float64()), pa.array(end, pa.int32())],
+                    names=["text_key", "item_id", "score", "last_word"])
+    return run
 
 
 def _text_key(col) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(col).cast("string"), F.lit(""))))
 
 
-def _tag(col) -> Column:
-    """The first 32 key bits as a number."""
-    return F.conv(F.hex(F.substring(F.col(col), 1, 4)), 16, 10).cast("long")
-
-
 def leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """text_key, item_id, score, last_word of every text that holds an item."""
     items = bench.select(F.col(item_col).cast("long").alias("item_id"), F.lower(F.col(item_text).cast("string")).alias("text")).where("item_id is not null").distinct()
-    items = C.saved(items.mapInArrow(_word_rows(C.PLAIN_WORDS), "item_id long, words binary").where(F.octet_length("words") >= 8 * MIN_ITEM))
-    seeds = C.saved(items.mapInArrow(_seeds, "item_id long, seed long, at int"))
-    known = C.bit_filter(seeds, "seed", FILTER_BITS)
+    items = C.saved(items.mapInArrow(_word_rows(C.PLAIN_WORDS), "item_id long, words binary").where(F.octet_length("words") > 0).distinct())
+    n = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    slices = -(-n // (8 * SLICE))
     texts = docs.select(_text_key(text_col).alias("text_key"), F.lower(F.col(text_col).cast("string")).alias("text")).where("text is not null")
-    places = texts.mapInArrow(_places(known), "text_key binary, seed long, at int").distinct()
-    places = C.saved(places.join(seeds.select("seed").distinct(), "seed"))
-    hits = places.join(seeds.withColumnRenamed("at", "item_at"), "seed").withColumn("d", F.col("at") - F.col("item_at"))
-    # two overlapping cuts of the diagonals, so close diagonals always meet
-    cuts = F.array(F.floor(F.col("d") / DIAGONAL) * 2, F.floor((F.col("d") + DIAGONAL // 2) / DIAGONAL) * 2 + 1)
-    windows = (hits.select("text_key", "item_id", "item_at", "d", F.explode(cuts).alias("cut"))
-               .groupBy("text_key", "item_id", "cut")
-               .agg(F.min("item_at").alias("a"), F.max("item_at").alias("b"), F.min("d").alias("d0"), F.max("d").alias("d1"))
-               .where("a < b"))
-    size = items.select("item_id", F.col("words").alias("item_words"), (F.octet_length("words") / 8).cast("int").alias("n"))
-    windows = C.saved(windows.join(size.drop("item_words"), "item_id")
-                      .select("text_key", "item_id", F.greatest(F.lit(0), F.col("d0") - DIAGONAL).cast("int").alias("first"),
-                              (F.col("d1") + F.col("n") + DIAGONAL).cast("int").alias("stop")).distinct())
-    keys = windows.select("text_key").distinct()
-    wanted = C.bit_filter(keys.select(_tag("text_key").alias("tag")), "tag", FILTER_BITS)
-    chosen = texts.mapInArrow(_chosen_words(wanted), "text_key binary, words binary")
-    chosen = chosen.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.first("words").alias("words"))
-    pairs = (windows.join(chosen, "text_key").join(size.drop("n"), "item_id")
-             .select("text_key", "item_id", "item_words", "first",
-                     F.substring(F.col("words"), F.col("first") * 8 + 1, (F.col("stop") - F.col("first")) * 8).alias("window")))
-    scored = pairs.mapInArrow(_score, "text_key binary, item_id long, score double, last_word int")
+    kind = "text_key binary, item_id long, score double, last_word int"
+    found = docs.sparkSession.createDataFrame([], kind)
+    for k in range(slices):
+        part = [(r["item_id"], bytes(r["words"])) for r in items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(slices)) == k).collect()]
+        if part:
+            found = found.union(C.saved(texts.mapInArrow(_search(part), kind)))
     best = F.max(F.struct("score", "last_word"))
-    return (scored.where(F.col("score") >= THRESHOLD).groupBy("text_key", "item_id").agg(best.alias("x"))
-            .select("text_key", "item_id", "x.score", "x.last_word"))
+    return found.groupBy("text_key", "item_id").agg(best.alias("x")).select("text_key", "item_id", "x.score", "x.last_word")
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -146,6 +146,38 @@ def test_a_frequent_edited_copy_is_a_leak(spark, docs_df):
     assert got == {0: 1.0} | dict.fromkeys(range(1, 40), 0.7)
 
 
+def test_leaks_equal_alignment_of_whole_texts(spark, docs_df):
+    rng = random.Random(33)
+    say = lambda n, top=150: [f"v{rng.randrange(top)}" for _ in range(n)]
+    items = {i: say(rng.choice([6, 7, 8, 12, 20, 31, 70, 140]), 4000) for i in range(40)}
+    items |= {100 + n: [f"s{n}{k}" for k in range(n)] for n in range(1, 6)} | {110: []}
+    rows = []
+    for i in range(200):
+        w = list(items[i % 40])
+        for _ in range(rng.randrange(1 + len(w) // 2)):
+            p = rng.randrange(len(w))
+            w[p:p + 1] = rng.choice([["x"], [], [w[p], "y"]])
+            w = w or ["x"]
+        rows.append((i, say(rng.randrange(30), 4000) + w + say(rng.randrange(30), 4000)))
+    third = [w if k % 3 != 2 else "x" for k, w in enumerate(items[next(i for i in range(40) if len(items[i]) == 20)])]
+    spread = [v for w in items[next(i for i in range(40) if len(items[i]) == 12)] for v in (w, "y")]
+    six, eight = (list(items[next(i for i in range(40) if len(items[i]) == n)]) for n in (6, 8))
+    six[2] = eight[2] = eight[5] = "x"
+    rows += [(300 + k, say(9) + w + say(9)) for k, w in enumerate((third, spread, six, eight))]
+    for n in range(1, 6):
+        rows += [(400 + n, say(5) + items[100 + n] + say(5)), (410 + n, items[100 + n]), (420 + n, items[100 + n][1:] + say(4)),
+                 (430 + n, items[100 + n][:1] + ["x"] + items[100 + n][1:])]
+    code = {}
+    number = lambda ws: np.array([code.setdefault(w, len(code)) for w in ws], dtype=np.uint64)
+    held = lambda a, b: any(b[p:p + len(a)] == a for p in range(len(b)))
+    truth = {(d, i): decontam.align(number(a), number(b))[0] / (2 * len(a)) for i, a in items.items() if a for d, b in rows
+             if (held(a, b) if len(a) < decontam.MIN_ITEM else decontam.align(number(a), number(b))[0] >= 2 * decontam.THRESHOLD * len(a))}
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontam.contaminated(docs_df([(d, " ".join(w)) for d, w in rows]), bench).collect()}
+    assert {300, 301, 302, 303} <= {d for d, _ in truth}
+    assert got == truth
+
+
 def article(page):
     m = re.search(r"<article>(.*?)(</article>|\Z)", page or "", re.S)
     parts = re.split(r"</?(?:p|h1)>", m[1]) if m else []
