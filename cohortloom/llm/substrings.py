@@ -2,7 +2,7 @@
 
 Two kinds of unit are compared.
 
-* Paragraphs: ``\\n``-separated lines of ``MIN_WORDS`` words or more, as
+* Paragraphs: ``\\n``-separated lines of ``SHINGLE`` words or more, as
   sets of five-word shingles. MinHash with 16 bands of four minima finds
   colliding paragraphs (a pair of similarity 0.8 is missed with
   probability 2e-4), the pairs are confirmed by exact Jaccard similarity
@@ -26,7 +26,7 @@ whether passages nest, overlap or have several keepers. Equal units are one row
 whatever their number; anchors are counted before they are joined back, so
 a passage that a third of all documents share is never gathered.
 
-Defined results: null and short texts have no units; only units with a
+Defined results: null texts and lines under five words have no units; only units with a
 partner in another document, or paragraphs repeated in their own, give
 rows; a null id takes no part; rows that share an id and a text are one
 document; extra columns are ignored; an empty table gives an empty table.
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm import common as C
 from cohortloom.llm.minhash import links
 
-MIN_WORDS = 50
+SHINGLE = 5
 WINDOW, ANCHORS = 32, 19
 BANDS = 16
 
@@ -112,9 +112,9 @@ def passages(read: DataFrame) -> DataFrame:
 def paragraphs(read: DataFrame) -> DataFrame:
     """Near-equal paragraphs: doc_id, place (line number), n_words, cluster, keeper, removed."""
     lines = read.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "text"))
-    lines = lines.withColumn("n_words", C.n_words(F.col("text"))).where(F.col("n_words") >= MIN_WORDS)
+    lines = lines.withColumn("n_words", C.n_words(F.col("text"))).where(F.col("n_words") >= SHINGLE)
     units = lines.select(F.struct("doc_id", "place", F.col("n_words").cast("int").alias("n_words")).alias("unit"), "text")
-    placed, classes, edges = links(units, "unit", "text", 5, 80, BANDS)
+    placed, classes, edges = links(units, "unit", "text", SHINGLE, 80, BANDS)
     root = C.components(edges)
     home = (classes.join(root.withColumnRenamed("node", "cls"), "cls", "left")
             .select("cls", F.coalesce("root", "cls").alias("root"), F.col("doc_id").alias("head")))

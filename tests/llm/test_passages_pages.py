@@ -79,6 +79,19 @@ def test_nested_and_overlapping_passages_lose_no_word(docs_df):
     assert len({r["cluster"] for r in out if r["doc_id"] in (20, 21)}) == 1
 
 
+def test_short_paragraphs_are_compared(docs_df):
+    rng = random.Random(8)
+    long, mid, five = text_of(rng, 52).split(), text_of(rng, 30).split(), text_of(rng, 5)
+    lines = {1: long, 2: long[:49], 3: mid, 4: [*mid[:-1], "edit"], 5: five.split(), 6: five.upper().split(), 7: text_of(rng, 4).split()}
+    docs = [(i, f"{text_of(rng, 20)}\n{' '.join(w)}\nshort line here") for i, w in lines.items()] + [(8, docs_line := " ".join(lines[7])), (9, docs_line)]
+    out = [r for r in substrings.repeats(docs_df(docs)).collect() if r["kind"] == "paragraph"]
+    groups = defaultdict(list)
+    for r in out:
+        groups[r["cluster"]].append((r["doc_id"], r["place"], r["n_words"], r["keeper"], r["removed"]))
+    assert sorted(sorted(g) for g in groups.values()) == [
+        [(1, 1, 52, 1, False), (2, 1, 49, 1, True)], [(3, 1, 30, 3, False), (4, 1, 30, 3, True)], [(5, 1, 5, 5, False), (6, 1, 5, 5, True)]]
+
+
 def smith_waterman(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
