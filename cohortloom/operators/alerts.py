@@ -41,23 +41,33 @@ def zero_runs(events: DataFrame, start, as_of, key_events=None, dim: Column | No
               min_hours: int = dims.ZERO_RUN_HOURS) -> DataFrame:
     """Runs of at least ``min_hours`` consecutive clock hours (UTC) with no
     event in ``[start, as_of)``, per (dim, key event). Every listed dim
-    value has every key event, so a key that never fires is one run."""
+    value has every key event, so a key that never fires is one run. A
+    caller's ``dim`` without ``dim_values`` lists the values its key events
+    have in that time."""
     lo, hi = X.to_micros(start), X.to_micros(as_of)
     ev = FN.before_cutoff(events, as_of).where(F.col("event_timestamp") >= F.lit(lo))
     names = list(key_events or KEY_EVENTS)
-    return zero_runs_from_counts(hourly_counts(ev, names, dim), lo // HOUR_MICROS, -(-hi // HOUR_MICROS),
-                                 names, dim_values, min_hours)
+    counts = hourly_counts(ev, names, dim)
+    if dim is not None and dim_values is None:
+        dim_values = counts.select("dim").where("dim is not null").distinct()
+    return zero_runs_from_counts(counts, lo // HOUR_MICROS, -(-hi // HOUR_MICROS), names, dim_values, min_hours)
 
 
 def zero_runs_from_counts(counts: DataFrame, first_hour: int, end_hour: int, key_events=None, dim_values=None,
                           min_hours: int = dims.ZERO_RUN_HOURS) -> DataFrame:
     """Zero runs in hours ``first_hour <= hour < end_hour`` from (dim,
-    event_name, hour, n) counts, e.g. the output of the hourly monitor."""
+    event_name, hour, n) counts, e.g. the output of the hourly monitor.
+    ``dim_values`` is a list, or a frame (dim) of all values in the counts."""
     names = list(key_events or KEY_EVENTS)
-    values = list(dim_values or [c for _, c in dims.FUNNEL_COUNTRY_CODES] + [dims.OTHER_COUNTRY])
-    closing = [(d, n, end_hour) for d in values for n in names]
-    ends = counts.sparkSession.createDataFrame(closing, "dim string, event_name string, hour bigint")
-    seen = (counts.where(F.col("dim").isin(values) & F.col("event_name").isin(names) & (F.col("n") > 0)
+    if isinstance(dim_values, DataFrame):
+        listed = F.col("dim").isNotNull()
+        ends = dim_values.select("dim", F.explode(F.array(*map(F.lit, names))).alias("event_name"), F.lit(end_hour).cast("bigint").alias("hour"))
+    else:
+        values = list(dim_values or [c for _, c in dims.FUNNEL_COUNTRY_CODES] + [dims.OTHER_COUNTRY])
+        listed = F.col("dim").isin(values)
+        closing = [(d, n, end_hour) for d in values for n in names]
+        ends = counts.sparkSession.createDataFrame(closing, "dim string, event_name string, hour bigint")
+    seen = (counts.where(listed & F.col("event_name").isin(names) & (F.col("n") > 0)
                          & F.col("hour").between(first_hour, end_hour - 1))
             .select("dim", "event_name", "hour"))
     w = Window.partitionBy("dim", "event_name").orderBy("hour")

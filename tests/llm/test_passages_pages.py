@@ -220,6 +220,15 @@ def test_constant_nodes_are_template(spark):
     assert "First same" in out[200]                      # copies are not template
 
 
+def test_the_share_of_template_pages_is_exact(spark):
+    page = "<html><body><section><p>Text {0}</p></section><div>{1}</div></body></html>"
+    rows = [(1000 * h + i, f"http://h{h}.org/", page.format(i, "Closing line" if i < 320 + h % 2 else f"Other {i}"))
+            for h in range(12) for i in range(400)]
+    out = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    left = Counter(r["page_id"] // 1000 for r in out if "Closing line" in r["text"])
+    assert left == {h: 320 for h in range(0, 12, 2)}
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("<p>a<p>b</b>c", "a\n\nbc"),
     ("<main><h1>T</h1>x<br>y</main><p>out</p>", "T\n\nx y"), ("<article><header><h1>T</h1><p>by me</p></header><p>x</p><aside>no</aside></article>", "T\n\nx"),

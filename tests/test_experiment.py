@@ -226,6 +226,12 @@ def test_outage_at_the_edges_and_of_a_silent_key(spark):
         ("KR", "00:00", "23:00", 24), ("VN", "00:00", "07:00", 8), ("VN", "12:00", "23:00", 12)]
 
 
+def test_zero_runs_of_a_callers_dimension(spark):
+    rows = [ev("first_open", "2024-01-05", f"{h:02}:00", "u") for h in range(8)] + [ev("first_open", "2024-01-05", "10:00", "v")]
+    out = alerts.zero_runs(events_df(spark, rows), "2024-01-05 00:00:00", "2024-01-05 12:00:00", ["first_open"], dim=F.col("user_pseudo_id"), min_hours=3)
+    assert sorted((r["country_code"], r["zero_from"][-5:], r["zero_hours"]) for r in out.collect()) == [("u", "08:00", 4), ("v", "00:00", 10)]
+
+
 def test_step_events_after_the_cutoff_do_not_count(spark):
     steps = [("A", 1, "open", "first_open", None, False)]
     rows = [ev("first_open", "2024-01-05", "10:00", "u"), ev("first_open", "2024-01-07", "12:00", "v")]
