@@ -79,20 +79,27 @@ def signup_first(events: DataFrame, methods=None, success_values=None, strict: b
                          P.recode_method(F.col("w.method_raw"), methods).alias("signup_method"))
 
 
-def cohort_days(events: DataFrame, country_map=None, methods=None, success_values=None, strict: bool = False) -> DataFrame:
-    """One row per device: its first open and the first successful sign-up
-    of that day, from one pass. The same rules as ``first_open`` and
-    ``signup_first``; a null device never counts as registered."""
+def device_days(events: DataFrame, success_values=None, strict: bool = False) -> DataFrame:
+    """One row per (device, day): its first open ``fo`` and its first
+    successful sign-up ``su``, null where the day has none. A day's rows
+    depend on that day's events only, so days can be kept and renewed one
+    by one (``sources.restate``)."""
     ties = [F.col(c) for c in _tie_columns(events)]
     order = [F.col("event_timestamp"), *ties]
     raw = P.signup_method_raw(strict=strict)
     signed = ((F.col("event_name") == dims.SIGNUP_RESULT)
               & P.success_value(strict=strict).isin(list(success_values or dims.SUCCESS_VALUES)))
-    days = (events.groupBy("user_pseudo_id", "event_date")
+    return (events.groupBy("user_pseudo_id", "event_date")
             .agg(F.min(F.when(F.col("event_name") == dims.FIRST_OPEN,
                               F.struct(*order, "platform", F.col("geo.country").alias("country")))).alias("fo"),
                  F.min(F.when(signed, F.struct(raw.isNull().cast("int").alias("no_method"), *order,
                                                raw.alias("method_raw")))).alias("su")))
+
+
+def device_cohorts(days: DataFrame, country_map=None, methods=None) -> DataFrame:
+    """One row per device from its ``device_days``: its first open and the
+    first successful sign-up of that day. A null device never counts as
+    registered."""
     first = (days.where(F.col("fo").isNotNull()).groupBy("user_pseudo_id")
              .agg(F.min(F.struct("fo", "event_date", "su")).alias("w")))
     known = F.col("user_pseudo_id").isNotNull() & F.col("w.su").isNotNull()
@@ -102,6 +109,13 @@ def cohort_days(events: DataFrame, country_map=None, methods=None, success_value
                         F.when(known, P.recode_method(F.col("w.su.method_raw"), methods)).alias("signup_method"))
 
 
+def cohort_days(events: DataFrame, country_map=None, methods=None, success_values=None, strict: bool = False) -> DataFrame:
+    """One row per device: its first open and the first successful sign-up
+    of that day, from one pass. The same rules as ``first_open`` and
+    ``signup_first``."""
+    return device_cohorts(device_days(events, success_values, strict), country_map, methods)
+
+
 def country_counts(cohorts: DataFrame, methods=None) -> DataFrame:
     """Counts per (day, country) from ``cohort_days``."""
     reg = F.col("signup_method").isNotNull()
@@ -116,30 +130,6 @@ def country_counts(cohorts: DataFrame, methods=None) -> DataFrame:
         F.count_if(android & reg).alias("android_registered"))
 
 
-def country_daily(cohorts: DataFrame, signups: DataFrame, methods=None) -> DataFrame:
-    """Left join cohorts to same-day sign-ups, count per (day, country)."""
-    c = cohorts.alias("c")
-    s = signups.alias("s")
-    joined = c.join(s, (F.col("c.user_pseudo_id") == F.col("s.user_pseudo_id"))
-                    & (F.col("c.cohort_date") == F.col("s.signup_date")), "left")
-    reg = F.col("s.user_pseudo_id").isNotNull()
-    android = F.col("c.platform") == F.lit(dims.PLATFORM)
-    method_counts = [F.count_if(F.col("s.signup_method") == F.lit(m)).alias(m)
-                     for m in list(methods or dims.SIGNUP_METHODS) + [dims.UNKNOWN_METHOD]]
-    agg = (joined.groupBy(F.col("c.cohort_date").alias("cohort_date"),
-                          F.col("c.country_code").alias("country_code"))
-           .agg(F.count(F.lit(1)).alias("first_opens"),
-                F.count_if(reg).alias("registered"),
-                *method_counts,
-                F.count_if(android).alias("android_first_opens"),
-                F.count_if(android & reg).alias("android_registered")))
-    rate = F.round(F.try_divide(F.col("registered"), F.col("first_opens")) * 100, 1)
-    return agg.select("cohort_date", "country_code", "first_opens", "registered",
-                      rate.cast("double").alias("registered_rate"),
-                      *[c for c in agg.columns if c not in ("cohort_date", "country_code",
-                                                             "first_opens", "registered")])
-
-
 def signup_country_method_daily(daily: DataFrame, intraday: DataFrame, start_date=dims.DEFAULT_START_DATE,
                                 landed_max: str | None = None, as_of=None, country_map=None,
                                 methods=None, strict: bool = False, ordered: bool = True) -> DataFrame:

@@ -8,16 +8,13 @@ files instead of recomputing), and gives later stages real statistics.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
-from cohortloom.session import ensure_checkpoint_dir
+from cohortloom.session import shared_folder
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cohortloom-{name}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, name)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

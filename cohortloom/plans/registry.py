@@ -16,7 +16,9 @@ from cohortloom import schemas
 from cohortloom.functions import dims
 from cohortloom.operators import alerts, experiment, feedback, funnel, payments, reshape, signup, workflow
 from cohortloom.sources import events as S
+from cohortloom.session import shared_folder
 from cohortloom.sources import fixtures as FX
+from cohortloom.sources import restate, shards
 
 Job = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Job] = {}
@@ -96,6 +98,50 @@ def q_signup_first(spark, sf_dir):
     return signup.signup_first(_union(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- R-1 from day shards (SRC-1..3, SNK-4, SM-2)
+@register("shard_report")
+def q_shard_report(spark, sf_dir):
+    """R-1 from day folders, cut at the last landed day of the listing."""
+    daily, intraday = FX.shard_folders(spark, sf_dir)
+    cut = S.landed_max(spark, base=daily)
+    return signup.signup_country_method_daily(S.read_shards(spark, daily), S.read_shards(spark, intraday), FX.START_DATE,
+                                              cut, FX.AS_OF, ordered=False)
+
+
+@register("landed_days")
+def q_landed_days(spark, sf_dir):
+    daily, _ = FX.shard_folders(spark, sf_dir)
+    return shards.landed_days(spark, daily)
+
+
+def _restated(spark: SparkSession, sf_dir: str):
+    """A first run, late files, and a second run: state, report, and the
+    days that the second run renewed of each."""
+    daily, intraday = FX.shard_folders(spark, sf_dir, with_late=False)
+    base = shared_folder(spark, "restated")
+    state, report = f"{base}/state", f"{base}/report"
+    restate.refresh_days(spark, daily, intraday, state, FX.START_DATE, FX.AS_OF)
+    restate.restate_report(spark, state, report)
+    FX.land_late(spark, sf_dir, daily)
+    touched = restate.refresh_days(spark, daily, intraday, state, FX.START_DATE, FX.AS_OF)
+    return state, report, touched, restate.restate_report(spark, state, report)
+
+
+@register("restated_report")
+def q_restated_report(spark, sf_dir):
+    """The report after late files, and which of its days were rewritten."""
+    _, report, _, days = _restated(spark, sf_dir)
+    rows = spark.read.schema(schemas.SIGNUP_REPORT).parquet(report)
+    return rows.withColumn("restated", F.col("cohort_date").cast("string").isin(days))
+
+
+@register("restated_days")
+def q_restated_days(spark, sf_dir):
+    """Device rows per kept day, and which days the second run read."""
+    state, _, touched, _ = _restated(spark, sf_dir)
+    return restate.last_log(spark, state).select("suffix", "origin", "device_days", F.col("suffix").isin(touched).alias("renewed"))
+
+
 # ---------------------------------------------------------------- R-2, R-3
 METHOD_START = "2024-01-10"
 

@@ -8,6 +8,8 @@ and splits skewed join partitions.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         os.makedirs(configured, exist_ok=True)
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the cluster's checkpoint folder. A local master
+    without one gets a folder of its own, since all its tasks share it."""
+    sc = spark.sparkContext
+    local = sc.master.startswith("local") and "cluster" not in sc.master
+    base = sc.getConf().get("spark.checkpoint.dir") or ensure_checkpoint_dir(
+        spark, tempfile.mkdtemp(prefix="cohortloom-ckpt-") if local and not sc.getCheckpointDir() else None)
+    return f"{base.rstrip('/')}/cohortloom-{name}-{uuid.uuid4().hex}"

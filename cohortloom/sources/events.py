@@ -21,6 +21,8 @@ from cohortloom import schemas
 log = logging.getLogger(__name__)
 
 _DAY = re.compile(r"^\d{8}$")
+#: Columns that are taken along where both branches have them.
+EXTRA = ("event_id",)
 _DAILY_TABLE = re.compile(r"^events_(\d{8})$")
 
 
@@ -137,7 +139,7 @@ def landed_max_column(df: DataFrame) -> Column:
 
 
 def union_events(daily: DataFrame, intraday: DataFrame, start_date, landed_max: str | None,
-                 as_of, event_names, extra_columns=("event_id",)) -> DataFrame:
+                 as_of, event_names, extra_columns=EXTRA) -> DataFrame:
     """Landed days plus not-yet-landed intraday days, one row set.
 
     The cut is the last landed day, so no day is scanned twice. Filters

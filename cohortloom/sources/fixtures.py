@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from cohortloom import schemas
 from cohortloom.functions import dims
+from cohortloom.session import shared_folder
+from cohortloom.sources import shards
 
 # --- fixed values: fixture derivation ---------------------------------
 EVENT_NAMES = [("view", "first_open"), ("signup", "signup_result"),
@@ -28,6 +30,9 @@ APP_VERSIONS = ["1.4.0", "1.4.2", "1.5.1"]
 LESSONS = [732, 1615, 734, 733, 1613, 1614, 1661]
 DAILY_BEFORE = "20240125"      # days before this are landed
 INTRADAY_FROM = "20240124"     # intraday overlaps one landed day
+EMPTY_LANDED = "20240125"      # landed without events, after the last day with events
+STRAY_DAY = "20240120"         # its events lie a second time in a daily folder that is no day
+LATE_DAYS = ["20240110", "20240118"]    # days whose every tenth event lands late
 START_DATE = "2024-01-01"
 AS_OF = "2024-01-31"
 # inside the data, so window, cutoff and maturity have rows on both sides
@@ -156,6 +161,30 @@ def intraday_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return app_events(spark, sf_dir).where(F.col(schemas.SUFFIX) >= INTRADAY_FROM)
 
 
+def late_event() -> Column:
+    return F.col(schemas.SUFFIX).isin(LATE_DAYS) & (F.col("event_id") % 10 == 3)
+
+
+def shard_folders(spark: SparkSession, sf_dir: str, with_late: bool = True) -> tuple[str, str]:
+    """Write the events as day shards; returns the daily and the intraday
+    folder. The last landed day is empty, one daily folder is no day."""
+    base = shared_folder(spark, "shards")
+    daily, intraday = f"{base}/daily", f"{base}/intraday"
+    landed = daily_events(spark, sf_dir)
+    if not with_late:
+        landed = landed.where(~late_event())
+    stray = landed.where(F.col(schemas.SUFFIX) == STRAY_DAY).withColumn(schemas.SUFFIX, F.concat(F.lit("intraday_"), schemas.SUFFIX))
+    shards.write_shards(landed.unionByName(stray), daily)
+    shards.write_shards(intraday_events(spark, sf_dir), intraday)
+    shards.land_empty(spark, daily, EMPTY_LANDED)
+    return daily, intraday
+
+
+def land_late(spark: SparkSession, sf_dir: str, daily: str) -> None:
+    """The late events as further files of their days."""
+    shards.write_shards(daily_events(spark, sf_dir).where(late_event()), daily)
+
+
 def orders_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events -> production orders."""
     ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")

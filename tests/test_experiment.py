@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.operators import alerts, experiment, funnel, payments
-from tests.conftest import ev, events_df, micros, p
+from tests.event_rows import ev, events_df, micros, p
 
 START, CUTOFF = "2024-01-01 00:00:00", "2024-01-20 00:00:00"
 

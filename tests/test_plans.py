@@ -95,7 +95,7 @@ def test_only_listed_dimensions_are_hinted(spark):
 
 
 def test_report_reads_each_shard_once_and_joins_nothing(spark):
-    from conftest import ev, events_df
+    from tests.event_rows import ev, events_df
 
     from cohortloom.operators import signup
 
@@ -106,7 +106,7 @@ def test_report_reads_each_shard_once_and_joins_nothing(spark):
 
 
 def test_cutoff_prunes_shards(spark, scratch):
-    from conftest import ev, events_df
+    from tests.event_rows import ev, events_df
 
     from cohortloom.operators import funnel
     from cohortloom.sources.events import read_shards

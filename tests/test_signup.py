@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import signup
 from cohortloom.sources import events as S
-from tests.conftest import ev, events_df, p
+from tests.event_rows import ev, events_df, p
 
 DAY = "2024-01-10"
 

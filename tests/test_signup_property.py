@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cohortloom.operators import signup
-from tests.conftest import ev, events_df, p
+from tests.event_rows import ev, events_df, p
 
 DAYS = ["2024-01-01", "2024-01-02", "2024-01-03"]
 USERS = ["u1", "u2", "u3", None]

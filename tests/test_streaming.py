@@ -9,7 +9,7 @@ from cohortloom import schemas
 from cohortloom.operators import alerts, feedback
 from cohortloom.sources import fixtures as FX
 from cohortloom.streaming import intake
-from tests.conftest import ev, events_df
+from tests.event_rows import ev, events_df
 
 SF = "/root/testdata/sf0.001"
 
