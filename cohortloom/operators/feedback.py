@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import dims
+from cohortloom.sources.files import BAD_LINE, bad_line_reason
 
 LINE_BUCKET = 1024   # positions per bucket when numbering transcript lines
 
@@ -39,7 +40,9 @@ def checked_feedback(records: DataFrame) -> DataFrame:
     Rules: some text or an image; name at most 20 characters, text at
     most 2000, at most 9 images. As in a form field, characters are UTF-16
     units of the value as entered, before it is trimmed. A blank name
-    becomes the anonymous name.
+    becomes the anonymous name. A line that is no record (see
+    ``sources.files.read_feedback``) fails with the reason why alone, and
+    is kept as it was read.
     """
     raw_text, raw_name = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("name"), F.lit(""))
     text, name = js_trim(raw_text), js_trim(raw_name)
@@ -56,12 +59,14 @@ def checked_feedback(records: DataFrame) -> DataFrame:
         F.when(F.col("text_units") > dims.MAX_TEXT_CHARS, F.lit("text_too_long")),
         F.when(F.size("images") > dims.MAX_IMAGES, F.lit("too_many_images")),
     ))
+    if BAD_LINE in records.columns:
+        reasons = F.when(F.col(BAD_LINE).isNull(), reasons).otherwise(F.array(bad_line_reason(F.col(BAD_LINE))))
     return (cleaned.select("*", reasons.alias("reasons"), (F.size(reasons) == 0).alias("accepted"))
             .drop("name_units", "text_units"))
 
 
 def feedback_accepted(records: DataFrame) -> DataFrame:
-    return checked_feedback(records).where(F.col("accepted")).drop("reasons", "accepted")
+    return checked_feedback(records).where(F.col("accepted")).drop("reasons", "accepted", BAD_LINE)
 
 
 def feedback_rejected(records: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from cohortloom.sources import events as S
 from cohortloom.session import shared_folder
 from cohortloom.sources import fixtures as FX
 from cohortloom.sources import restate, shards
+from cohortloom.streaming import intake, monitor
 
 Job = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Job] = {}
@@ -142,6 +143,66 @@ def q_restated_days(spark, sf_dir):
     return restate.last_log(spark, state).select("suffix", "origin", "device_days", F.col("suffix").isin(touched).alias("renewed"))
 
 
+# ---------------------------------------------------------------- streams (SM-1, SM-3, SM-4)
+def _ended(*queries) -> None:
+    for q in queries:
+        q.awaitTermination()
+
+
+@register("changeover_union")
+def q_changeover_union(spark, sf_dir):
+    """Events per day from the stream over intraday and landed shards; the
+    last landed day comes after its intraday shard was read."""
+    base = shared_folder(spark, "changeover")
+    landed = FX.daily_events(spark, sf_dir)
+    last = F.col(schemas.SUFFIX) >= FX.INTRADAY_FROM
+    shards.write_shards(landed.where(~last), f"{base}/daily")
+    shards.write_shards(FX.intraday_events(spark, sf_dir), f"{base}/intraday")
+
+    def run():
+        _ended(intake.changeover_stream(spark, f"{base}/daily", f"{base}/intraday", f"{base}/out", f"{base}/ckpt", available_now=True))
+    run()
+    shards.write_shards(landed.where(last), f"{base}/daily")
+    run()
+    return (S.read_shards(spark, f"{base}/out").groupBy("event_date", "event_name")
+            .agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_pseudo_id").alias("n_devices")))
+
+
+def _monitored(spark: SparkSession, sf_dir: str) -> str:
+    """The monitor over the events, stopped and started again for the late ones."""
+    base = shared_folder(spark, "monitor")
+    raw = FX.raw_folder(spark, sf_dir, late=False)
+    for late in (False, True):
+        if late:
+            FX.raw_folder(spark, sf_dir, True, raw)
+        _ended(monitor.zero_monitor_stream(spark, raw, f"{base}/store", f"{base}/ckpt", FX.ALERT_START, available_now=True))
+    return f"{base}/store"
+
+
+@register("monitor_counts")
+def q_monitor_counts(spark, sf_dir):
+    return monitor.key_counts(spark, _monitored(spark, sf_dir))
+
+
+@register("monitor_zero_runs")
+def q_monitor_zero_runs(spark, sf_dir):
+    return monitor.zero_alerts(spark, _monitored(spark, sf_dir))
+
+
+@register("feedback_intake")
+def q_feedback_intake(spark, sf_dir):
+    """Records per outcome of the intake stream over JSON lines."""
+    base = shared_folder(spark, "intake")
+    _ended(*intake.feedback_intake_stream(spark, FX.feedback_lines(spark, sf_dir), f"{base}/accepted", f"{base}/rejected",
+                                          f"{base}/ckpt", available_now=True))
+    accepted = spark.read.parquet(f"{base}/accepted").select("demo", F.lit("accepted").alias("outcome"), F.lit(0).alias("bad"))
+    rejected = spark.read.parquet(f"{base}/rejected").select("demo", F.col("reason").alias("outcome"), F.col("line").isNotNull().cast("int").alias("bad"))
+    # a cut-off line has lost some of its fields, its demo among them
+    demo = F.when(F.col("outcome") != "not_json", F.col("demo").cast("string")).alias("demo")
+    return (accepted.unionByName(rejected).groupBy("outcome", demo)
+            .agg(F.count(F.lit(1)).alias("records"), F.sum("bad").alias("bad_lines")))
+
+
 # ---------------------------------------------------------------- R-2, R-3
 METHOD_START = "2024-01-10"
 

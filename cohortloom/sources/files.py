@@ -3,7 +3,7 @@ JSON payload text, feedback JSON records."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,10 +40,28 @@ def write_payloads(payloads: DataFrame, path: str) -> None:
      .write.mode("overwrite").text(path))
 
 
+#: Column that holds a line which is no feedback record, else null.
+BAD_LINE = "line"
+
+
 def read_feedback(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Feedback JSON records with the declared schema (batch or stream)."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(schemas.FEEDBACK).json(path)
+    """Feedback records from JSON lines (batch or stream) with the declared
+    schema and ``line``: the text of a line that is broken or has a field
+    of another type, null for a good one. Nothing is dropped; blank lines
+    are no records."""
+    lines = (spark.readStream if streaming else spark.read).text(path).where(F.trim("value") != "")
+    schema = T.StructType([*schemas.FEEDBACK.fields, T.StructField(BAD_LINE, T.StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE})
+    # a line that is JSON but no object gives no record and no corrupt text either
+    whole = F.expr("try_variant_get(try_parse_json(value), '$', 'map<string,variant>')").isNotNull()
+    return (lines.select(parsed.alias("r"), F.when(~whole, F.col("value")).alias("other"))
+            .select(*[f"r.{f.name}" for f in schemas.FEEDBACK], F.coalesce(f"r.{BAD_LINE}", "other").alias(BAD_LINE)))
+
+
+def bad_line_reason(line: Column) -> Column:
+    """Why a line is no record; null for a good one."""
+    return (F.when(line.isNull(), F.lit(None).cast("string"))
+            .when(F.try_parse_json(line).isNull(), F.lit("not_json")).otherwise(F.lit("wrong_type")))
 
 
 def append_feedback(df: DataFrame, path: str) -> None:

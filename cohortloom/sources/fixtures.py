@@ -180,6 +180,28 @@ def shard_folders(spark: SparkSession, sf_dir: str, with_late: bool = True) -> t
     return daily, intraday
 
 
+def raw_folder(spark: SparkSession, sf_dir: str, late: bool, base: str | None = None) -> str:
+    """Event files in order of arrival: the late events, or all others."""
+    base = base or shared_folder(spark, "raw")
+    events = app_events(spark, sf_dir).where(late_event() if late else ~late_event()).drop(schemas.SUFFIX)
+    events.write.mode("append").parquet(base)
+    return base
+
+
+def feedback_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Feedback records as JSON lines; some are cut off, some have a text
+    in place of their images."""
+    path = shared_folder(spark, "feedback")
+    rec = feedback_records(spark, sf_dir)
+    whole = F.to_json(F.struct(*[f.name for f in schemas.FEEDBACK]))
+    typed = F.to_json(F.struct("name", "text", F.lit("no list").alias("images"), "context", "page", "demo"))
+    did = F.col("doc_id")
+    line = (F.when(did % 29 == 4, F.substring(whole, F.lit(1), (F.length(whole) / 2).cast("int")))
+            .when(did % 31 == 5, typed).otherwise(whole))
+    rec.select(line.alias("value")).write.text(path)
+    return path
+
+
 def land_late(spark: SparkSession, sf_dir: str, daily: str) -> None:
     """The late events as further files of their days."""
     shards.write_shards(daily_events(spark, sf_dir).where(late_event()), daily)
