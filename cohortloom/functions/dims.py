@@ -61,6 +61,8 @@ SCREENS = [
     ("B", "study_plan", "signup"),
     ("B", "paywall_1", "study_plan"),
 ]
+# input metrics without a named event
+INPUT_SCREENS = ["lesson_finish", "paywall_1", "paywall_2"]
 # known tracking gaps: (group, app version, step) usable for diagnosis only
 KNOWN_GAPS = [
     ("B", "1.4.2", "study_plan"),

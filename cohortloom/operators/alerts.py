@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import dims
 from cohortloom.functions import params as P
-from cohortloom.operators import experiment as X
 from cohortloom.operators import funnel as FN
+from cohortloom.sources import events as E
 
 HOUR_MICROS = 3_600_000_000
 KEY_EVENTS = [dims.FIRST_OPEN, dims.SIGNUP_RESULT, dims.ASSIGN_EVENT]
@@ -28,8 +28,10 @@ def hour_text(idx: Column) -> Column:
     return F.date_format(F.timestamp_micros(idx * F.lit(HOUR_MICROS)), "yyyy-MM-dd HH:mm")
 
 
-def hourly_counts(events: DataFrame, key_events=None, dim: Column | None = None) -> DataFrame:
-    """(dim, event_name, hour) -> events; only hours that have events."""
+def hourly_counts(events: DataFrame, key_events=None, dim: Column | None = None, start=None, end=None) -> DataFrame:
+    """(dim, event_name, hour) -> events of ``[start, end)``; only hours
+    that have events. On day shards both ends prune days."""
+    events = E.between_times(events, start, end)
     names = list(key_events or KEY_EVENTS)
     d = dim if dim is not None else P.country_code(F.col("geo.country"), dims.FUNNEL_COUNTRY_CODES)
     return (events.where(F.col("event_name").isin(names))
@@ -44,10 +46,9 @@ def zero_runs(events: DataFrame, start, as_of, key_events=None, dim: Column | No
     value has every key event, so a key that never fires is one run. A
     caller's ``dim`` without ``dim_values`` lists the values its key events
     have in that time."""
-    lo, hi = X.to_micros(start), X.to_micros(as_of)
-    ev = FN.before_cutoff(events, as_of).where(F.col("event_timestamp") >= F.lit(lo))
+    lo, hi = E.to_micros(start), E.to_micros(as_of)
     names = list(key_events or KEY_EVENTS)
-    counts = hourly_counts(ev, names, dim)
+    counts = hourly_counts(events, names, dim, start, as_of)
     if dim is not None and dim_values is None:
         dim_values = counts.select("dim").where("dim is not null").distinct()
     return zero_runs_from_counts(counts, lo // HOUR_MICROS, -(-hi // HOUR_MICROS), names, dim_values, min_hours)

@@ -9,33 +9,25 @@ shuffle.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import dims
 from cohortloom.functions import params as P
+from cohortloom.sources.events import between_times, to_micros
 
 STATUS_FALLBACK = "fallback"
 STATUS_CONFLICT = "conflict"
 STATUS_NONE = "none"
 
 
-def to_micros(ts) -> int:
-    """``'YYYY-MM-DD HH:MM[:SS]'`` (UTC) or datetime -> epoch microseconds."""
-    if isinstance(ts, (int,)):
-        return ts
-    if not isinstance(ts, _dt.datetime):
-        ts = _dt.datetime.fromisoformat(str(ts))
-    if ts.tzinfo is None:
-        ts = ts.replace(tzinfo=_dt.timezone.utc)
-    delta = ts - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
-    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
-
-
-def assignment_events(events: DataFrame, experiment: str = dims.EXPERIMENT) -> DataFrame:
-    """App events -> flat assignment rows of one experiment."""
+def assignment_events(events: DataFrame, experiment: str = dims.EXPERIMENT, cutoff=None, since=None) -> DataFrame:
+    """App events -> flat assignment rows of one experiment, before
+    ``cutoff``. ``since`` is the day the experiment began, before which no
+    device can have been assigned; it must not be later than the first
+    assignment, as a window tests a device's first one. On day shards both
+    prune days."""
+    events = between_times(events, since, cutoff)
     ties = [F.col("event_id")] if "event_id" in events.columns else [F.lit(None).cast("bigint").alias("event_id")]
     return (events.where(F.col("event_name") == dims.ASSIGN_EVENT)
             .select("user_pseudo_id", "event_timestamp", *ties,

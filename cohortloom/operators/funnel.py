@@ -13,8 +13,6 @@ than bits raise in either form of the step list.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +22,7 @@ from cohortloom.functions import dims
 from cohortloom.functions import params as P
 from cohortloom.operators import experiment as X
 from cohortloom.plans.broadcast import dimension
+from cohortloom.sources.events import between_times
 
 MAX_STEPS = 62   # the bitmask is a bigint
 COUNTRY_TABS = [dims.ALL_COUNTRIES, *(code for _, code in dims.FUNNEL_COUNTRY_CODES)]
@@ -89,18 +88,6 @@ def depth(mask: Column) -> Column:
     return _trailing_ones(F.shiftright(mask, 1))
 
 
-def before_cutoff(events: DataFrame, cutoff) -> DataFrame:
-    """Events before the cutoff. On day shards the day of the cutoff also
-    prunes partitions."""
-    if cutoff is None:
-        return events
-    micros = X.to_micros(cutoff)
-    if schemas.SUFFIX in events.columns:
-        day = _dt.datetime.fromtimestamp((micros - 1) // 1_000_000, _dt.timezone.utc).strftime("%Y%m%d")
-        events = events.where(F.col(schemas.SUFFIX) <= F.lit(day))
-    return events.where(F.col("event_timestamp") < F.lit(micros))
-
-
 def step_masks(events: DataFrame, steps=None, event_names=None, cutoff=None) -> DataFrame:
     """(device, grp, mask): which steps of each group's list the device
     hit before ``cutoff``. ``event_names`` (literal) lets the name filter reach the scan;
@@ -108,7 +95,7 @@ def step_masks(events: DataFrame, steps=None, event_names=None, cutoff=None) ->
     if event_names is None and not isinstance(steps, DataFrame):
         event_names = step_event_names(steps)
     steps = steps_frame(events.sparkSession, steps)
-    ev = before_cutoff(events, cutoff)
+    ev = between_times(events, None, cutoff)
     if event_names:
         ev = ev.where(F.col("event_name").isin(list(event_names)))
     ev = ev.select("user_pseudo_id", "event_name",
@@ -172,11 +159,26 @@ def _rate(num: Column, den: Column) -> Column:
     return F.round(F.try_divide(num.cast("double"), den.cast("double")), 6)
 
 
+def gap_devices(devices: DataFrame, gaps=None, by: str = "country_code", all_label=dims.ALL_COUNTRIES) -> DataFrame:
+    """(grp, <by>, step, gap_devices): devices whose version has a known
+    tracking gap at the step, per ``by`` and over all."""
+    known = gaps_frame(devices.sparkSession, gaps).select("grp", "app_version", "step").distinct()
+    counts = (devices.groupBy("grp", by, "app_version").agg(F.count(F.lit(1)).alias("n")).join(known, ["grp", "app_version"])
+              .groupingSets([["grp", by, "step"], ["grp", "step"]], "grp", by, "step")
+              .agg(F.sum("n").alias("gap_devices"), F.grouping_id().alias("gid")))
+    return counts.select("grp", F.when(F.col("gid") > 0, F.lit(all_label)).otherwise(F.col(by)).alias(by), "step", "gap_devices")
+
+
 def funnel_metrics(reach: DataFrame, gaps=None, groups=None, min_sample: int = dims.SMALL_SAMPLE_MIN,
-                   by: str = "country_code") -> DataFrame:
+                   by: str = "country_code", devices: DataFrame | None = None) -> DataFrame:
     """Step conversion, start conversion, step loss, small-sample and
     known-gap flags.
 
+    A known gap is one of a group, a version and a step. With ``devices``
+    (the devices of the reach table) a row is marked if devices of such a
+    version are in it, and ``gap_devices`` counts them; a table by version
+    is marked by its own versions; else every version is taken to occur.
+
     Small sample: in a country, if either group's first-step base is
     below ``min_sample`` (an absent group counts as 0), both are flagged.
     """
@@ -189,17 +191,21 @@ def funnel_metrics(reach: DataFrame, gaps=None, groups=None, min_sample: int = d
     n_groups = F.size(F.collect_set(F.when(F.col("step_no") == 1, F.col("grp"))).over(country_w))
     min_base = F.min(first_base).over(country_w)
     small = (n_groups < F.lit(len(gs))) | (min_base < F.lit(min_sample))
-    gap_keys = (gaps_frame(reach.sparkSession, gaps).select("grp", "step").distinct()
-                .withColumn("is_known_gap", F.lit(True)))
+    if devices is not None:
+        marks, on = gap_devices(devices, gaps, by), ["grp", by, "step"]
+    else:
+        on = ["grp", "app_version", "step"] if by == "app_version" else ["grp", "step"]
+        marks = gaps_frame(reach.sparkSession, gaps).select(*on).distinct()
     out = (reach.select("*", prev.alias("prev_reached"), base.alias("base"), small.alias("small_sample"))
-           .join(gap_keys, ["grp", "step"], "left"))
+           .join(marks.withColumn("is_known_gap", F.lit(True)), on, "left"))
+    counted = [F.coalesce(F.col("gap_devices"), F.lit(0).cast("bigint")).alias("gap_devices")] if devices is not None else []
     return out.select(
         "grp", by, "step_no", "step", "assigned", "reached", "hit", "prev_reached", "base",
         _rate(F.col("reached"), F.col("prev_reached")).alias("step_rate"),
         _rate(F.col("reached"), F.col("base")).alias("start_rate"),
         (F.col("prev_reached") - F.col("reached")).alias("step_loss"),
         "small_sample",
-        F.coalesce(F.col("is_known_gap"), F.lit(False)).alias("is_known_gap"),
+        F.coalesce(F.col("is_known_gap"), F.lit(False)).alias("is_known_gap"), *counted,
     )
 
 
@@ -229,7 +235,7 @@ def lesson_reach(events: DataFrame, stable: DataFrame, lessons=None, cutoff=None
     event before ``cutoff`` for one of their group's lessons. (device, lesson) pairs are
     made distinct first, which combines map-side, then joined to devices."""
     ls = lessons or {"A": dims.LESSONS_A, "B": dims.LESSONS_B}
-    pairs = (before_cutoff(events, cutoff).where(F.col("event_name") == dims.LESSON_EVENT)
+    pairs = (between_times(events, None, cutoff).where(F.col("event_name") == dims.LESSON_EVENT)
              .select("user_pseudo_id", P.param("lesson_id", "int_value").alias("lesson_id"))
              .where(F.col("lesson_id").isNotNull())
              .distinct())
@@ -239,6 +245,34 @@ def lesson_reach(events: DataFrame, stable: DataFrame, lessons=None, cutoff=None
             .groupBy("grp", "lesson_id").agg(F.count(F.lit(1)).alias("devices")))
 
 
+def input_steps(event_of: dict[str, str]) -> list[tuple]:
+    """The input metrics as a step list: sign-up, first lesson start and
+    finish, the paywalls and the checkout start, of both groups. Those
+    without an event of their own by definition are counted where
+    ``event_of`` names their event (``dims.INPUT_SCREENS``)."""
+    unknown = set(event_of) - set(dims.INPUT_SCREENS)
+    if unknown:
+        raise ValueError(f"unknown metrics: {sorted(unknown)}")
+    rows = []
+    for grp, lessons in (("A", dims.LESSONS_A), ("B", dims.LESSONS_B)):
+        own = [int(x) for x in lessons]
+        metrics = [("signup", dims.SIGNUP_RESULT, None, True), ("lesson_start", dims.LESSON_EVENT, own, False)]
+        metrics += [(m, event_of[m], own if m == "lesson_finish" else None, False) for m in dims.INPUT_SCREENS if m in event_of]
+        metrics.append(("checkout_start", dims.CHECKOUT_EVENT, None, False))
+        rows += [(grp, n, *m) for n, m in enumerate(metrics, 1)]
+    return rows
+
+
+def input_reach(events: DataFrame, stable: DataFrame, event_of: dict[str, str], cutoff=None) -> DataFrame:
+    """Reach of every input metric per group and country tab: stable
+    devices that hit it before ``cutoff``, whatever else they hit."""
+    steps = input_steps(event_of)
+    devices = device_funnel(stable, step_masks(events, steps, cutoff=cutoff))
+    reach = funnel_reach(devices, steps, tabs=COUNTRY_TABS)
+    return reach.select("grp", "country_code", F.col("step").alias("metric"), "assigned", F.col("hit").alias("devices"),
+                        _rate(F.col("hit"), F.col("assigned")).alias("rate"))
+
+
 def country_tab(funnel: DataFrame, tab: str = dims.ALL_COUNTRIES) -> DataFrame:
     """One dashboard tab: "ALL" or one country code."""
     return funnel.where(F.col("country_code") == F.lit(tab))

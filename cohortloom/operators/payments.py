@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import dims
-from cohortloom.operators.experiment import to_micros
+from cohortloom.sources.events import to_micros
 
 DAY_MICROS = 86_400_000_000
 MONEY = "decimal(38,2)"
@@ -52,6 +52,28 @@ def device_orders(stable: DataFrame, orders: DataFrame, cutoff, days: int = dims
                     F.coalesce(F.col("revenue").cast(MONEY), zero).alias("revenue")))
 
 
+def window_orders(stable: DataFrame, orders: DataFrame, cutoff, days: int = dims.MATURITY_DAYS,
+                  success: str = dims.ORDER_SUCCESS) -> DataFrame:
+    """Orders and revenue of each stable device's first ``days`` days, for
+    devices with very many orders (JN-7 as a range join in day cells).
+
+    A device's window touches at most days + 1 calendar days. It becomes one
+    row for each, and orders meet it on (device, day), so orders outside the
+    window meet nothing and a device's orders are dealt out by day."""
+    hi, span = to_micros(cutoff), days * DAY_MICROS
+    dev = stable.select("user_pseudo_id", "first_ts")
+    cell = lambda c: F.floor(c / F.lit(DAY_MICROS)).cast("long")
+    cells = dev.select("*", F.explode(F.sequence(cell(F.col("first_ts")), cell(F.col("first_ts") + F.lit(span - 1)))).alias("day"))
+    ok = (orders.where((F.col("status") == F.lit(success)) & (F.col("order_ts") < F.lit(hi)))
+          .select("user_pseudo_id", "order_ts", "amount", cell(F.col("order_ts")).alias("day")))
+    inside = (F.col("order_ts") >= F.col("first_ts")) & (F.col("order_ts") < F.col("first_ts") + F.lit(span))
+    sums = (ok.join(cells, ["user_pseudo_id", "day"]).where(inside).groupBy("user_pseudo_id")
+            .agg(F.count(F.lit(1)).alias("orders_7d"), F.sum("amount").cast(MONEY).alias("revenue_7d")))
+    return dev.join(sums, "user_pseudo_id", "left").select(
+        "user_pseudo_id", F.coalesce("orders_7d", F.lit(0)).cast("long").alias("orders_7d"),
+        F.coalesce("revenue_7d", F.lit(0).cast(MONEY)).alias("revenue_7d"))
+
+
 def mature_rate(dev_orders: DataFrame, all_label: str = dims.ALL_COUNTRIES) -> DataFrame:
     """North-star metric per group and country (plus "all"): share of
     mature devices with a SUCCESS order within 7 days."""

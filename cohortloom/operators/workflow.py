@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cohortloom import schemas
 from cohortloom.functions import dims
 
 # fields of the record that execution fills after the hand-over
@@ -130,6 +132,43 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c.cast("string")) == "")
 
 
+def release_source(rows: DataFrame, release_type: str, mapping: dict[str, Column | str], schema: T.StructType = schemas.RELEASE) -> DataFrame:
+    """One source of the release table in the table's own shape.
+
+    ``mapping`` names for each field of the table a column of the source
+    or an expression over it. Fields that it leaves out are empty. The type
+    field is the source's; a mapping to a field that the table lacks, a
+    column that the source lacks, a required field without a mapping, or a
+    value of another kind than the field's raises before any row is read."""
+    fields = {f.name: f.dataType for f in schema}
+    problems = [f"no field {c}" for c in mapping if c not in fields]
+    problems += [f"field {c} is the source's type" for c in mapping if c == "type"]
+    problems += [f"no mapping for {c}" for c in ("id", "name", "status") if c not in mapping]
+    problems += [f"no column {c} for {f}" for f, c in mapping.items() if isinstance(c, str) and c not in rows.columns]
+    if release_type not in dims.RELEASE_TYPES:
+        problems.append(f"no type {release_type}")
+    if not problems:
+        given = rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(f) for f, c in mapping.items()]).schema
+        problems = [f"{f.name} is {f.dataType.simpleString()}, not {fields[f.name].simpleString()}" for f in given
+                    if f.dataType not in (fields[f.name], T.NullType())]
+    if problems:
+        raise ValueError(f"source {release_type}: " + "; ".join(problems))
+    columns = {**mapping, "type": F.lit(release_type)}
+    cast = {f: columns[f] if f in columns else F.lit(None) for f in fields}
+    return rows.select(*[(F.col(c) if isinstance(c, str) else c).cast(fields[f]).alias(f) for f, c in cast.items()])
+
+
+def release_union(sources: dict[str, tuple[DataFrame, dict[str, Column | str]]]) -> DataFrame:
+    """The release table from its sources, type -> (rows, mapping): product
+    requirements handed over from the pool, urgent bugs, own optimisations
+    of the developers, and problems found online, each in its own shape."""
+    parts = [release_source(rows, kind, mapping) for kind, (rows, mapping) in sources.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def release_missing_fields(release: DataFrame) -> DataFrame:
     """Release rows lacking a required field (the version field required
     depends on the product's track)."""
@@ -143,6 +182,12 @@ def release_missing_fields(release: DataFrame) -> DataFrame:
             .select("id", "name", F.array_join("missing", ",").alias("missing")))
 
 
+def pool_list(pool: DataFrame, product: str) -> DataFrame:
+    """The requirement pool of one product; all products share the pool."""
+    return pool_clean(pool).where(F.col("product") == F.lit(product)).select(
+        "id", "title", "module", "priority", "release_version", "backend_version", "status")
+
+
 def release_list(release: DataFrame, version: str, product: str | None = None) -> DataFrame:
     """Everything in one app version: product requirements, urgent bugs,
     R&D and experience optimisations."""

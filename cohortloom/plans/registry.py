@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.functions import dims
-from cohortloom.operators import alerts, experiment, feedback, funnel, payments, reshape, signup, workflow
+from cohortloom.operators import alerts, bitmaps, experiment, feedback, funnel, links, payments, reshape, signup, workflow
 from cohortloom.sources import events as S
 from cohortloom.session import shared_folder
 from cohortloom.sources import fixtures as FX
-from cohortloom.sources import restate, shards
+from cohortloom.sources import bucketed, restate, shards
 from cohortloom.streaming import intake, monitor
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -229,13 +229,13 @@ def q_payload_json(spark, sf_dir):
 
 # ---------------------------------------------------------------- R-4 .. R-6
 def assignment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assign = experiment.assignment_events(FX.app_events(spark, sf_dir))
+    assign = experiment.assignment_events(FX.app_events(spark, sf_dir), cutoff=FX.ASSIGN_CUTOFF)
     return experiment.assignment_status(assign, FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
 
 
 def funnel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = FX.app_events(spark, sf_dir)
-    status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
+    status = experiment.assignment_status(experiment.assignment_events(ev, cutoff=FX.ASSIGN_CUTOFF), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
     devices = funnel.device_funnel(experiment.stable_devices(status), funnel.step_masks(ev, cutoff=FX.ASSIGN_CUTOFF))
     return funnel.funnel_reach(devices, tabs=funnel.COUNTRY_TABS)
 
@@ -255,26 +255,81 @@ def q_funnel_reach(spark, sf_dir):
     return funnel_table(spark, sf_dir)
 
 
+def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, devices = _devices(spark, sf_dir)
+    return funnel.funnel_metrics(funnel.funnel_reach(devices, tabs=funnel.COUNTRY_TABS), FX.FIXTURE_GAPS, devices=devices)
+
+
 @register("funnel_metrics")
 def q_funnel_metrics(spark, sf_dir):
-    m = funnel.funnel_metrics(funnel_table(spark, sf_dir), FX.FIXTURE_GAPS)
+    m = metrics_table(spark, sf_dir)
     # null at step 1 (no previous step); as double the view reads the same in any client
     return m.withColumn("prev_reached", F.col("prev_reached").cast("double")) \
             .withColumn("step_loss", F.col("step_loss").cast("double"))
 
 
+@register("input_reach")
+def q_input_reach(spark, sf_dir):
+    stable = experiment.stable_devices(assignment_table(spark, sf_dir))
+    return funnel.input_reach(FX.screen_events(spark, sf_dir), stable, FX.SCREEN_EVENTS, cutoff=FX.ASSIGN_CUTOFF)
+
+
+# ---------------------------------------------------------------- tables dealt by device, mergeable counts
+BUCKETS = 8
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    base = shared_folder(spark, "bucketed")
+    return bucketed.device_tables(spark, FX.app_events(spark, sf_dir), FX.orders_prod(spark, sf_dir), base,
+                                  "b" + base.rsplit("-", 1)[1], BUCKETS, FX.ASSIGN_CUTOFF)
+
+
+@register("bucketed_funnel")
+def q_bucketed_funnel(spark, sf_dir):
+    t = _bucketed(spark, sf_dir)
+    stable = experiment.stable_devices(experiment.assignment_status(t["assign"], FX.ASSIGN_START, FX.ASSIGN_CUTOFF))
+    return funnel.funnel_reach(funnel.device_funnel(stable, t["masks"]), tabs=funnel.COUNTRY_TABS)
+
+
+@register("bucketed_orders")
+def q_bucketed_orders(spark, sf_dir):
+    t = _bucketed(spark, sf_dir)
+    stable = experiment.stable_devices(experiment.assignment_status(t["assign"], FX.ASSIGN_START, FX.ASSIGN_CUTOFF))
+    return _money_as_double(payments.device_orders(stable, t["orders"], FX.ASSIGN_CUTOFF), "revenue_7d", "revenue")
+
+
+@register("window_orders")
+def q_window_orders(spark, sf_dir):
+    stable = experiment.stable_devices(assignment_table(spark, sf_dir))
+    return _money_as_double(payments.window_orders(stable, FX.orders_prod(spark, sf_dir), FX.ASSIGN_CUTOFF), "revenue_7d")
+
+
+@register("bitmap_reach")
+def q_bitmap_reach(spark, sf_dir):
+    """Distinct devices per event and version from day bitmaps, of which
+    some were built again for late events."""
+    state = shared_folder(spark, "bitmaps")
+    ev = FX.app_events(spark, sf_dir).withColumn("app_version", F.col("app_info.version"))
+    keys = ["event_name", "app_version"]
+    on_time = ev.where(~FX.late_event())
+    days = [r[0] for r in on_time.select(schemas.SUFFIX).distinct().collect()]      # a name a day
+    bitmaps.restate_days(on_time, state, keys, days)
+    bitmaps.restate_days(ev, state, keys, FX.LATE_DAYS)
+    return bitmaps.distinct_devices(bitmaps.read_bitmaps(spark, state), keys)
+
+
 # ---------------------------------------------------------------- R-7, R-8
 def _devices(spark: SparkSession, sf_dir: str):
     """Assignment status and funnel devices."""
     ev = FX.app_events(spark, sf_dir)
-    status = experiment.assignment_status(experiment.assignment_events(ev), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
+    status = experiment.assignment_status(experiment.assignment_events(ev, cutoff=FX.ASSIGN_CUTOFF), FX.ASSIGN_START, FX.ASSIGN_CUTOFF)
     masks = funnel.step_masks(ev, cutoff=FX.ASSIGN_CUTOFF)
     return status, funnel.device_funnel(experiment.stable_devices(status), masks)
 
 
 @register("hourly_counts")
 def q_hourly_counts(spark, sf_dir):
-    return alerts.hourly_counts(FX.app_events(spark, sf_dir))
+    return alerts.hourly_counts(FX.app_events(spark, sf_dir), start=FX.ALERT_START, end=FX.ALERT_END)
 
 
 @register("zero_runs")
@@ -400,6 +455,33 @@ def q_dependency_check(spark, sf_dir):
     return workflow.dependency_check(FX.pool_table(spark, sf_dir))
 
 
+@register("link_ends")
+def q_link_ends(spark, sf_dir):
+    ends = links.link_ends(FX.linked_pool(spark, sf_dir))
+    return ends.withColumn("depth", F.col("depth").cast("double"))
+
+
+@register("ship_groups")
+def q_ship_groups(spark, sf_dir):
+    g = links.ship_groups(FX.linked_pool(spark, sf_dir))
+    # null in a group of a cycle alone; as double the view reads the same in any client
+    return g.withColumn("longest_chain", F.col("longest_chain").cast("double"))
+
+
+@register("release_table")
+def q_release_table(spark, sf_dir):
+    """The release table from its four sources; the view shows the fields
+    that every source fills, and how many execution fields are filled."""
+    filled = sum(F.col(c).isNotNull().cast("int") for c in workflow.EXECUTION_FIELDS)
+    return FX.release_table(spark, sf_dir).select("id", "name", "module", "type", "priority", "app_version", "requester",
+                                                  "status", "product", filled.cast("bigint").alias("filled"))
+
+
+@register("pool_list_product")
+def q_pool_list_product(spark, sf_dir):
+    return workflow.pool_list(FX.pool_table(spark, sf_dir), dims.APP_PRODUCT)
+
+
 @register("release_missing_fields")
 def q_release_missing_fields(spark, sf_dir):
     return workflow.release_missing_fields(FX.release_table(spark, sf_dir))
@@ -483,5 +565,4 @@ def q_lesson_reach(spark, sf_dir):
 
 @register("gap_flagged")
 def q_gap_flagged(spark, sf_dir):
-    m = funnel.funnel_metrics(funnel_table(spark, sf_dir), FX.FIXTURE_GAPS)
-    return m.where(F.col("is_known_gap")).select("grp", "country_code", "step_no", "step", "reached", "step_rate")
+    return metrics_table(spark, sf_dir).where(F.col("is_known_gap")).select("grp", "country_code", "step_no", "step", "reached", "step_rate")

@@ -138,6 +138,36 @@ def landed_max_column(df: DataFrame) -> Column:
             .select(F.max(schemas.SUFFIX)).scalar())
 
 
+def to_micros(ts) -> int:
+    """``'YYYY-MM-DD HH:MM[:SS]'`` (UTC), datetime or microseconds ->
+    epoch microseconds."""
+    if isinstance(ts, (int,)):
+        return ts
+    if not isinstance(ts, _dt.datetime):
+        ts = _dt.datetime.fromisoformat(str(ts))
+    if ts.tzinfo is None:
+        ts = ts.replace(tzinfo=_dt.timezone.utc)
+    delta = ts - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+
+
+def between_times(events: DataFrame, start=None, end=None) -> DataFrame:
+    """Events at ``start`` or later and before ``end``. A shard holds the
+    events of its UTC day, so on day shards the days of both ends also
+    prune partitions."""
+    day = lambda micros: _dt.datetime.fromtimestamp(micros // 1_000_000, _dt.timezone.utc).strftime("%Y%m%d")
+    time, has_days = F.col("event_timestamp"), schemas.SUFFIX in events.columns
+    if start is not None:
+        lo = to_micros(start)
+        events = events.where(time >= F.lit(lo))
+        events = events.where(F.col(schemas.SUFFIX) >= F.lit(day(lo))) if has_days else events
+    if end is not None:
+        hi = to_micros(end)
+        events = events.where(time < F.lit(hi))
+        events = events.where(F.col(schemas.SUFFIX) <= F.lit(day(hi - 1))) if has_days else events
+    return events
+
+
 def union_events(daily: DataFrame, intraday: DataFrame, start_date, landed_max: str | None,
                  as_of, event_names, extra_columns=EXTRA) -> DataFrame:
     """Landed days plus not-yet-landed intraday days, one row set.

@@ -153,6 +153,19 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Names of the events that the input metrics without a named event take.
+SCREEN_EVENTS = {"lesson_finish": "lesson_done", "paywall_1": "paywall_view"}
+
+
+def screen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App events, and from every second lesson event a finish, from every
+    third assignment a paywall view."""
+    ev = app_events(spark, sf_dir)
+    more = lambda name, of, n: ev.where((F.col("event_name") == of) & (F.col("event_id") % n == 0)).withColumn("event_name", F.lit(name))
+    return (ev.unionByName(more(SCREEN_EVENTS["lesson_finish"], dims.LESSON_EVENT, 2))
+            .unionByName(more(SCREEN_EVENTS["paywall_1"], dims.ASSIGN_EVENT, 3)))
+
+
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return app_events(spark, sf_dir).where(F.col(schemas.SUFFIX) < DAILY_BEFORE)
 
@@ -302,7 +315,7 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Release table: product requirements handed over from the pool,
     plus the other three source types from ``supplier``; execution fields
     filled by key, each left empty for some."""
-    from cohortloom.operators.workflow import pool_to_release
+    from cohortloom.operators.workflow import pool_to_release, release_union
 
     pool = pool_table(spark, sf_dir)
     pk = F.col("id").cast("bigint")
@@ -311,23 +324,47 @@ def release_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                           .otherwise(F.col("app_version")))
               .withColumns(_execution_fields(pk))
               .withColumn("status", _pick(dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS], pk % 8)))
+    handed_map = {f.name: f.name for f in schemas.RELEASE if f.name != "type"}
+    return release_union({dims.PRODUCT_REQUIREMENT: (handed, handed_map), **other_sources(spark, sf_dir)})
+
+
+def other_sources(spark: SparkSession, sf_dir: str) -> dict:
+    """The three sources beside the pool, each a third of ``supplier`` in a
+    shape of its own, with its mapping to the release table."""
     sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     sk = F.col("s_suppkey")
-    others = sup.select(
-        F.concat(F.lit("s"), sk.cast("string")).alias("id"),
-        F.concat(F.lit("sup "), F.col("s_name")).alias("name"),
-        F.lit("Brand#0").alias("module"),
-        _pick(OTHER_RELEASE_TYPES, sk % 3).alias("type"),
-        F.concat(F.lit("P"), (sk % 3).cast("string")).alias("priority"),
-        F.concat(F.lit("1."), (sk % 6).cast("string"), F.lit(".0")).alias("app_version"),
-        F.lit(None).cast("string").alias("backend_version"),
-        F.lit("dev").alias("requester"),
-        F.lit(None).cast("string").alias("brief"),
-        _pick(dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS], sk % 8).alias("status"),
-        F.lit(dims.APP_PRODUCT).alias("product"),
-        *[c.alias(name) for name, c in _execution_fields(sk).items()],
-    )
-    return handed.select(*others.columns).unionByName(others)
+    key = F.concat(F.lit("s"), sk.cast("string"))
+    version = F.concat(F.lit("1."), (sk % 6).cast("string"), F.lit(".0"))
+    status = _pick(dims.RELEASE_STATUS_CHAIN + [dims.RELEASE_HOLD_STATUS], sk % 8)
+    execution = _execution_fields(sk)
+    fields = [c.alias(n) for n, c in execution.items()]
+    same = {n: n for n in execution}
+    fixed = {"module": F.lit("Brand#0"), "requester": F.lit("dev"), "product": F.lit(dims.APP_PRODUCT)}
+    third = [sup.where(sk % 3 == i) for i in range(3)]
+    bugs = third[0].select(key.alias("bug_no"), F.col("s_name").alias("summary"), version.alias("fix_version"), status.alias("state"), *fields)
+    own = third[1].select(F.struct(key.alias("key"), F.col("s_name").alias("topic")).alias("task"), version.alias("version"),
+                          F.concat(F.lit("V"), version).alias("label"), status.alias("status"), *fields)
+    online = third[2].select(sk.alias("number"), F.col("s_name").alias("what"), F.array(version).alias("versions"), status.alias("status"), *fields)
+    name = lambda c: F.concat(F.lit("sup "), F.col(c))
+    bug_type, own_type, online_type = OTHER_RELEASE_TYPES
+    return {
+        bug_type: (bugs, {"id": "bug_no", "name": name("summary"), "priority": F.lit("P0"), "app_version": "fix_version",
+                          "status": "state", **fixed, **same}),
+        own_type: (own, {"id": F.col("task.key"), "name": name("task.topic"), "priority": F.lit("P1"), "app_version": "version",
+                         "status": "status", **fixed, **same}),
+        online_type: (online, {"id": F.concat(F.lit("s"), F.col("number").cast("string")), "name": name("what"), "priority": F.lit("P2"),
+                               "app_version": F.col("versions")[0], "status": "status", **fixed, **same}),
+    }
+
+
+def linked_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pool with chains of up to five links and cycles of three, by the
+    last digit of the key: 0 to 4 depend on the next record, so does 6,
+    which runs into the cycle 7, 8, 9."""
+    pool = pool_table(spark, sf_dir)
+    pk = F.col("id").cast("bigint")
+    target = F.when((pk % 10).isin(0, 1, 2, 3, 4, 6, 7, 8), pk + 1).when(pk % 10 == 9, pk - 2)
+    return pool.withColumn("depends_on", target.cast("string"))
 
 
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
