@@ -199,6 +199,24 @@ def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (words[low >> _U(6)] >> (low & _U(63))) & _U(1) == 1
 
 
+def filter_words(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """(word, set) of a 2^bits filter over the low bits of a long column,
+    as a table: at most 2^(bits - 6) rows, whatever the input."""
+    low = keys.select(F.col(key).bitwiseAND(F.lit((1 << bits) - 1)).alias("bit"))
+    return saved(low.groupBy(F.shiftright("bit", 6).alias("word"))
+                 .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("set")))
+
+
+def passing(df: DataFrame, key: str, words: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose key may be in the filter. The filter is
+    broadcast, which its number of bits bounds (2^20 rows at 26 bits); it
+    only spares rows a shuffle."""
+    low = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
+    held = F.expr("(shiftright(set, cast(_low & 63 as int)) & 1) = 1")
+    return (df.withColumn("_low", low).withColumn("word", F.shiftright("_low", 6))
+            .join(F.broadcast(words), "word").where(held).drop("word", "set", "_low"))
+
+
 # --- connected components -------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:

@@ -50,6 +50,8 @@ HASHES, BANDS, BITS, ROWS = 128, 32, 4, 4
 FINE, FINE_BITS = 2048, 2
 #: Size of the filter that finds candidates' texts: 2 MB.
 FILTER_BITS = 24
+#: Size of the filters of band keys and of classes with candidates: 8 MB, as tables.
+KEY_BITS = 26
 _rng = np.random.default_rng(7919)
 _XOR = _rng.integers(0, 2**64, FINE, dtype=np.uint64)
 _MUL = _rng.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -193,13 +195,20 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     kind = read.schema["doc_id"].dataType.simpleString()
     sigs = C.saved(read.mapInArrow(_signatures(shingle, bands), f"doc_id {kind}, {_SIG}"))
     documents = sigs.select("doc_id", "n_shingles", "cls")
-    first = F.struct("doc_id", "n_shingles", "planes", "bands")
-    reps = C.saved(sigs.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min(first).alias("x"))
-                   .select("cls", "x.doc_id", "x.n_shingles", "x.planes", "x.bands"))
-    classes = reps.select("cls", "doc_id")
-    entry = reps.select("cls", F.posexplode("bands").alias("band", "key"))
+    known = sigs.where("cls is not null and doc_id is not null")
+    classes = C.saved(known.groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
+    # band keys that occur once are most of all; they are counted as bare
+    # numbers, and only what the filter of the others lets through is shuffled
+    keys = known.select(F.explode("bands").alias("key"))
+    often = C.filter_words(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key", KEY_BITS)
+    entry = C.passing(known.select("cls", F.posexplode("bands").alias("band", "key")), "key", often, KEY_BITS).distinct()
+    entry = C.saved(entry)
     shared = entry.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = C.saved(entry.join(shared, ["band", "key"]))
+    need = C.filter_words(members.select(F.xxhash64("cls").alias("tag")), "tag", KEY_BITS)
+    first = F.struct("doc_id", "n_shingles", "planes", "bands")
+    reps = C.saved(C.passing(known.withColumn("tag", F.xxhash64("cls")), "tag", need, KEY_BITS)
+                   .groupBy("cls").agg(F.min(first).alias("x")).select("cls", "x.doc_id", "x.n_shingles", "x.planes", "x.bands"))
     # the star's centre is the member with most neighbours over all bands: the text that others were made from
     degree = members.groupBy("cls").agg(F.sum("n").alias("degree"))
     central = members.join(degree, "cls").groupBy("band", "key").agg(F.min(F.struct(-F.col("degree"), "cls")).alias("x"))
