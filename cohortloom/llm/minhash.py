@@ -58,17 +58,19 @@ _MUL = _rng.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64
 _BAND = _rng.integers(0, 2**64, BANDS, dtype=np.uint64)
 _U = np.uint64
 
-_SIG = "n_shingles long, cls binary, planes array<bigint>, bands array<bigint>"
+_SIG = "n_shingles long, cls binary, planes array<bigint>, bands array<bigint>, n_words long"
 
 
-def _sets(col, k):
-    """Per chunk of rows: (row range, distinct shingles, offsets)."""
+def _sets(col, k, whole=True):
+    """Per chunk of rows: (row range, distinct shingles, offsets, words).
+    Without ``whole`` a row of fewer than k words has no shingle."""
     data, off = C.text_bytes(col)
     for a, b in C.row_chunks(off):
         _, _, h, woff = C.words(data[off[a]:off[b]], off[a:b + 1] - off[a], C.SPACE_WORDS)
         sh, soff = C.shingles(h, woff, k)
-        own = [np.unique(sh[soff[i]:soff[i + 1]]) for i in range(b - a)]
-        yield a, b, np.concatenate(own) if own else sh, np.concatenate([[0], np.cumsum([len(x) for x in own])])
+        n = np.diff(woff)
+        own = [np.unique(sh[soff[i]:soff[i + 1]]) if whole or n[i] >= k else sh[:0] for i in range(b - a)]
+        yield a, b, np.concatenate(own) if own else sh, np.concatenate([[0], np.cumsum([len(x) for x in own])]), n
 
 
 def _class(u, off):
@@ -91,14 +93,14 @@ def _packed(low, bits):
                            for j in range(bits)], axis=1)
 
 
-def _signatures(k, bands_used):
+def _signatures(k, bands_used, whole):
     hashes = bands_used * ROWS
     half = hashes // 64
 
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for a, b, u, off in _sets(texts, k):
+            for a, b, u, off, n_words in _sets(texts, k, whole):
                 n = np.diff(off)
                 full = n > 0
                 at = off[:-1][full]
@@ -121,7 +123,8 @@ def _signatures(k, bands_used):
                     pa.compute.if_else(none, pa.scalar(None, pa.binary()), raw),
                     pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * half * BITS, half * BITS, dtype=np.int32), planes.ravel()),
                     pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * bands_used, bands_used, dtype=np.int32), bands.ravel()),
-                ], names=["doc_id", "n_shingles", "cls", "planes", "bands"])
+                    pa.array(n_words.astype(np.int64)),
+                ], names=["doc_id", "n_shingles", "cls", "planes", "bands", "n_words"])
     return run
 
 
@@ -129,7 +132,7 @@ def _full_sets(k, with_fine, wanted):
     def run(batches):
         for batch in batches:
             asked = C.in_filter(wanted, batch.column(0).to_numpy().view(np.uint64))
-            for a, b, u, off in _sets(batch.column(1).filter(pa.array(asked)), k):
+            for a, b, u, off, _ in _sets(batch.column(1).filter(pa.array(asked)), k):
                 n = np.diff(off)
                 full = np.flatnonzero(n > 0)
                 if not len(full):
@@ -182,19 +185,22 @@ def _cut(percent: int, hashes: int, bits: int = BITS) -> float:
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
-          percent: int = 80, bands: int = BANDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+          percent: int = 80, bands: int = BANDS, whole: bool = True, rows_of=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, classes, links between classes).
 
-    documents: doc_id, n_shingles, cls; classes: cls, doc_id (least id);
+    documents: doc_id, n_shingles, cls, n_words; classes: cls, doc_id (least id);
     links: a, b. Every component of the full link graph is a component of
     the returned links. Ids may be of any type with an order. ``bands``
-    bands of four minima are used; a multiple of 16.
+    bands of four minima are used; a multiple of 16. Without ``whole`` a
+    text of fewer words than a shingle links to nothing. ``rows_of(ids)``
+    gives at least the rows (id, text) of some ids where that is cheaper
+    than to make all of them again.
     """
     hashes = bands * ROWS
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
-    sigs = C.saved(read.mapInArrow(_signatures(shingle, bands), f"doc_id {kind}, {_SIG}"))
-    documents = sigs.select("doc_id", "n_shingles", "cls")
+    sigs = C.saved(read.mapInArrow(_signatures(shingle, bands, whole), f"doc_id {kind}, {_SIG}"))
+    documents = sigs.select("doc_id", "n_shingles", "cls", "n_words")
     known = sigs.where("cls is not null and doc_id is not null")
     classes = C.saved(known.groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
     # band keys that occur once are most of all; they are counted as bare
@@ -216,9 +222,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
     def full_sets(need, fine):
         """cls, fine signature, members of the classes in ``need``."""
-        ids = need.join(classes, "cls").select(F.xxhash64("doc_id").alias("tag"))
+        ids = C.saved(need.join(classes, "cls").select("doc_id", F.xxhash64("doc_id").alias("tag")))
         wanted = C.bit_filter(ids, "tag", FILTER_BITS)  # most texts stay where they are
-        return C.saved(read.where("doc_id is not null").select(F.xxhash64("doc_id").alias("tag"), "text")
+        some = rows_of(ids).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) if rows_of else read
+        return C.saved(some.where("doc_id is not null").select(F.xxhash64("doc_id").alias("tag"), "text")
                        .mapInArrow(_full_sets(shingle, fine, wanted), "cls binary, fine array<bigint>, members binary")
                        .join(need, "cls", "left_semi").dropDuplicates(["cls"]))
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm import common as C
-from cohortloom.llm.minhash import links
+from cohortloom.llm.minhash import KEY_BITS, links
 
 SHINGLE = 5
 WINDOW, ANCHORS = 32, 19
@@ -111,10 +111,17 @@ def passages(read: DataFrame) -> DataFrame:
 
 def paragraphs(read: DataFrame) -> DataFrame:
     """Near-equal paragraphs: doc_id, place (line number), n_words, cluster, keeper, removed."""
-    lines = read.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "text"))
-    lines = lines.withColumn("n_words", C.n_words(F.col("text"))).where(F.col("n_words") >= SHINGLE)
-    units = lines.select(F.struct("doc_id", "place", F.col("n_words").cast("int").alias("n_words")).alias("unit"), "text")
-    placed, classes, edges = links(units, "unit", "text", SHINGLE, 80, BANDS)
+    def lines(texts: DataFrame) -> DataFrame:
+        return (texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "text"))
+                .where(F.length("text") >= 2 * SHINGLE - 1).select(F.struct("doc_id", "place").alias("unit"), "text"))
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        """Lines of the documents that have some of the units."""
+        own = C.filter_words(ids.select(F.xxhash64("doc_id.doc_id").alias("tag")), "tag", KEY_BITS)
+        return lines(C.passing(read.withColumn("tag", F.xxhash64("doc_id")), "tag", own, KEY_BITS))
+
+    placed, classes, edges = links(lines(read), "unit", "text", SHINGLE, 80, BANDS, whole=False, rows_of=rows_of)
+    placed = placed.where("cls is not null")
     root = C.components(edges)
     home = (classes.join(root.withColumnRenamed("node", "cls"), "cls", "left")
             .select("cls", F.coalesce("root", "cls").alias("root"), F.col("doc_id").alias("head")))
@@ -122,14 +129,32 @@ def paragraphs(read: DataFrame) -> DataFrame:
     groups = (home.groupBy("root").agg(F.min("head").alias("head"))
               .join(rows.groupBy("root").agg(F.count("*").alias("n")).where("n > 1"), "root").drop("n"))
     return (rows.drop("head").join(groups, "root")
-            .select("doc_id.doc_id", "doc_id.place", F.col("doc_id.n_words").alias("n_words"),
+            .select("doc_id.doc_id", "doc_id.place", F.col("n_words").cast("int").alias("n_words"),
                     F.xxhash64("root").alias("cluster"), F.col("head.doc_id").alias("keeper"), (F.col("doc_id") != F.col("head")).alias("removed")))
 
 
+def _once(read: DataFrame) -> DataFrame:
+    """Rows that share an id and a text as one row. Only rows of an id that
+    occurs more than once are dealt by (id, digest of the text); they are
+    found by counting ids alone, through a filter of fixed size."""
+    tag = F.xxhash64("doc_id").alias("tag")
+    twice = read.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(tag)
+    words = C.filter_words(twice, "tag", KEY_BITS)
+    if words.isEmpty():
+        return read
+    low = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+    marked = read.withColumn("_low", low).join(F.broadcast(words), F.shiftright("_low", 6) == F.col("word"), "left")
+    again = F.coalesce(F.expr("(shiftright(set, cast(_low & 63 as int)) & 1) = 1"), F.lit(False))
+    marked = C.saved(marked.select("doc_id", "text", again.alias("again")))
+    few = marked.where("again").groupBy("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")).agg(F.first("text").alias("text"))
+    return marked.where("not again").select("doc_id", "text").union(few.select("doc_id", "text"))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, kind (paragraph or passage), place, n_words, cluster,
     keeper (doc_id of the unit that stays), removed."""
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+    read = _once(read)
     one = paragraphs(read).select("doc_id", F.lit("paragraph").alias("kind"), "place", "n_words", "cluster", "keeper", "removed")
     two = passages(read).select("doc_id", F.lit("passage").alias("kind"), "place", "n_words", "cluster", "keeper", "removed")
     return one.union(two)

@@ -275,3 +275,11 @@ def test_pipeline_stages_and_run(spark):
     empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for name, stage in P.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_a_repeated_row_is_one_document(docs_df):
+    rng = random.Random(12)
+    text, other = text_of(rng, 70), text_of(rng, 70)
+    assert substrings.repeats(docs_df([(1, text), (1, text), (2, other)])).count() == 0
+    out = substrings.repeats(docs_df([(1, text), (1, text), (3, text), (2, other), (1, other)])).collect()
+    assert sorted((r["doc_id"], r["keeper"]) for r in out if r["kind"] == "paragraph") == [(1, 1), (1, 1), (2, 1), (3, 1)]
