@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -96,6 +97,48 @@ def test_secret_spans(documents, doc_rows, docs_df, spark):
     assert secrets.scan(docs_df([]), labels).count() == 0
 
 
+def test_markov_spans_equal_brute_force(documents, doc_rows, docs_df, spark):
+    """Runs, models and scores recomputed in plain Python; texts with many
+    matches, long runs and columns of clashing names included."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    rng = random.Random(5)
+    key = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-") for _ in range(n))
+    odd = [key(30) + "0123456789abcdef01234567" + key(30), "x" + key(25) + " token=" + key(25) + "." + key(40) + " " + key(22),
+           "AKIA" + "A1" * 10 + "q" * 30 + " " + key(21) + "\x01" + key(21), "é" + " ".join(key(24) for _ in range(3000)),
+           " ".join("secret=" + key(9) for _ in range(3000)) + " " + key(20), key(1 << 20), "\x01" * 3 + key(20) + "deadbeef" * 3 + "!"]
+    extra = docs_df([(10**6 + i, t) for i, t in enumerate(odd)]).select("doc_id", "text")
+    docs = documents.select("doc_id", "text").union(extra).selectExpr("*", "doc_id as id", "text as m", "1 as s", "2 as secret", "3 as `table`", "4 as x")
+    sample = [(r["s"], r["secret"]) for r in secrets.samples(docs, labels).collect()]
+    counts = {1: Counter(), 0: Counter()}
+    for s, secret in sample:
+        counts[secret].update(zip(s, s[1:]))
+    firsts = {k: Counter() for k in counts}
+    for k, c in counts.items():
+        for (a, _), n in c.items():
+            firsts[k][a] += n
+    alpha = {1: secrets.ALPHA_RANDOM, 0: secrets.ALPHA_WORD}
+    chance = lambda k, a, b: (counts[k][a, b] + alpha[k]) / (firsts[k][a] + alpha[k] * secrets.SYMBOLS)
+    texts = dict(doc_rows) | {10**6 + i: t for i, t in enumerate(odd)}
+    out = secrets.scan(docs, labels).collect()
+    assert len(out) == len(texts) and sum(r["n_markov"] for r in out) > 2500
+    check_secrets(out, texts)
+    for r in out:
+        text = texts[r["doc_id"]] or ""
+        covered = [False] * len(text)
+        for x in r["found"]:
+            if x["kind"] < 3:
+                covered[x["start"]:x["stop"]] = [True] * (x["stop"] - x["start"])
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+            if not any(covered[m.start():m.end()]):
+                mean = sum(math.log(chance(1, a, b) / chance(0, a, b)) for a, b in zip(m[0], m[0][1:])) / (len(m[0]) - 1)
+                assert abs(mean - secrets.THRESHOLD) > 1e-9
+                want += [(m.start(), m.end(), m[0])] if mean >= secrets.THRESHOLD else []
+        assert [(x["start"], x["stop"], x["value"]) for x in r["found"] if x["kind"] == 3] == want
+    own = spark.createDataFrame([(key(40), 1), ("the_word_of_the_user", 0), ("é", 1), (None, 0)], "s string, secret int")
+    assert secrets.scan(docs, labels, sample=own).count() == len(texts)
+
+
 def words_of(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
