@@ -6,24 +6,28 @@
     sidebars, notices, adverts, forms, scripts, styles, comments) are
     cut; inside an ``article`` or ``main`` element a header or an aside
     is judged the same way, and the article's own headings stay.
- 2. A host's wrapper is the merged tree of ``EXEMPLARS`` of its pages (the
-    ones that come first by a hash of their html): trees are aligned by
-    simple tree matching, matched nodes merge, others are added as slots.
- 3. Each page is aligned with its host's wrapper by simple tree matching.
-    For each wrapper node all different pages of the host count the texts
-    that stand under it. A text that stands there on more than ``SHARE`` of
-    them, and of at least ``LEAST_PAGES``, makes it a constant node:
-    template. What varies is a slot: content. Copies of a page count once,
-    so a page is not taken for template because it was copied.
- 4. A page's text is its blocks in the content root (article or main where
-    there is one, else body) that are no template.
-
-The wrappers are fitted on a bounded sample per host (at most
-``EXEMPLARS`` pages, ``MAX_WRAPPER`` nodes); the counts that decide what is
-constant are of all pages, and a block that matches no wrapper node is
-content. A host's pages are never gathered: wrappers are one row per host,
-joined to the pages, so a host with a third of all pages is split like any
-skewed join, and each page is parsed once.
+ 2. The block elements of the content root (article or main where there is
+    one, else body) are folded: siblings of one label become one
+    repeating node, and siblings stand in label order. Simple tree
+    matching looks for the largest order-preserving mapping of equal
+    labels from the root down; on folded trees that mapping takes every
+    pair of nodes with equal paths of labels, so two pages are aligned by
+    comparing paths, in linear time and without recursion.
+ 3. The wrapper of a host and layout (the path down to the content root) is
+    the union of its pages' aligned trees, made from all pages by counting:
+    a node is its path. A text that stands under one node on more than
+    ``SHARE`` of the different pages, and on two at least (one page has
+    nothing to be compared with), is constant: template. What varies is a
+    slot: content. Copies of a page count once.
+ 4. A page's text is its blocks that are no template. Where template would
+    be more than ``SHARE`` of a page's text, its pages are near copies of
+    one another rather than fillings of one template, and it keeps all.
+
+Pages are never gathered and no wrapper is sent around: the counts are
+map-side-combined aggregates of (host, layout, node, text), and only
+constant texts are joined back. Each page is parsed once. All pages count;
+nothing is sampled, and neither depth, length nor number of blocks has a
+bound.
 
 Defined results: null and empty html give empty text; html without any
 element is one block of text; a null url is a host of its own; repeated
@@ -33,21 +37,20 @@ empty table.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
-import json
 import re
+from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm import common as C
 from cohortloom.llm.urls import host as url_host
 
-EXEMPLARS = 3
-LEAST_PAGES = 8
 SHARE = 0.8
-MAX_WRAPPER = 400
+LEAST_PAGES = 2      # by definition: what is constant stands on two pages
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title".split())
@@ -66,6 +69,7 @@ CUT_NAME = re.compile(
 _P_ENDS = BLOCK - {"html", "body", "caption", "option", "optgroup", "legend", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt"}
 _SAME = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option", "optgroup"}, "tr": {"tr", "tbody", "tfoot", "thead"},
          "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}}
+_CLOSED_BY = {tag: {k for k, v in _SAME.items() if tag in v} for tag in _SAME}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select", "datalist"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -74,12 +78,14 @@ _ATTR = re.compile(r"([^\s=\"'>/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 
 
 class Node:
-    """Element with children (nodes and strings)."""
+    """Element with children (nodes and strings); ``inside``: it is an
+    article or main element or stands in one."""
 
-    __slots__ = ("tag", "name", "kids")
+    __slots__ = ("tag", "name", "kids", "inside")
 
-    def __init__(self, tag: str, name: str = ""):
+    def __init__(self, tag: str, name: str = "", inside: bool = False):
         self.tag, self.name, self.kids = tag, name, []
+        self.inside = inside or tag in ("article", "main")
 
 
 #: Names of nodes whose subtree is cut, or holds nothing but headings.
@@ -108,6 +114,12 @@ def parse(text: str) -> Node:
     """Tree of a page without the subtrees that hold no article text."""
     root = Node("#root")
     stack, at = [root], 0
+    opened = Counter()      # open elements by tag
+
+    def close(depth: int) -> None:
+        opened.subtract(n.tag for n in stack[depth:])
+        del stack[depth:]
+
     if not text:
         return root
     for m in _TOKEN.finditer(text):
@@ -120,28 +132,31 @@ def parse(text: str) -> Node:
         if not tag:
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             # an inline end tag does not close blocks opened after it
-            if depth and (tag in BLOCK or not any(n.tag in BLOCK for n in stack[depth + 1:])):
-                del stack[depth:]
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
+                if stack[i].tag == tag:
+                    close(i)
+                    break
+                if tag not in BLOCK and stack[i].tag in BLOCK:
+                    break
             continue
         attrs = m[3] or ""
-        name = _name(tag, attrs, any(n.tag in ("article", "main") for n in stack))
-        if tag in _P_ENDS:
+        name = _name(tag, attrs, stack[-1].inside)
+        if tag in _P_ENDS and opened["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in BLOCK:
                     break
-        elif tag in _SAME:
+        elif tag in _SAME and any(opened[t] for t in _CLOSED_BY[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if tag in _SAME.get(stack[i].tag, ()):
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in _SCOPE[tag]:
                     break
-        node = Node(tag, name)
+        node = Node(tag, name, stack[-1].inside)
         stack[-1].kids.append(node)
         if tag in RAW and not attrs.rstrip().endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
@@ -149,6 +164,7 @@ def parse(text: str) -> Node:
             at = end.end() if end else len(text)
         elif tag not in VOID and not attrs.rstrip().endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     if at < len(text):
         stack[-1].kids.append(text[at:])
     return root
@@ -196,24 +212,45 @@ def _below(node: Node):
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+_OUTER = frozenset("html body main article".split())
+_DIGITS = re.compile(r"\d+")
+
+
+class Path:
+    """Block element with those above it, as a chain. ``key`` is a hash of
+    the labels down to it: the node of the folded tree."""
+
+    __slots__ = ("key", "muted", "heading")
+
+    def __init__(self, node: Node, up: Path | None):
+        # names of the outermost elements and numbers in names tell pages apart, not places
+        label = f"{node.tag}.{_DIGITS.sub('0', node.name)}" if node.name and node.tag not in _OUTER else node.tag
+        self.key = hashlib.blake2b((up.key if up else b"") + label.encode("utf-8", "replace"), digest_size=8).digest()
+        self.muted = node.name == HEADINGS or bool(up and up.muted)
+        self.heading = node.tag in _HEADING or bool(up and up.heading)
+
+    def number(self) -> int:
+        return int.from_bytes(self.key, "big", signed=True)
+
+
 class Block:
     """Text of one block with the path of block elements above it."""
 
     __slots__ = ("path", "parts")
 
-    def __init__(self, path):
+    def __init__(self, path: Path | None):
         self.path, self.parts = path, []
 
     def text(self) -> str:
-        if any(n.name == HEADINGS for n in self.path) and not any(n.tag in _HEADING for n in self.path):
+        if self.path and self.path.muted and not self.path.heading:
             return ""
         return " ".join("".join(map(entities.unescape, self.parts)).split())
 
 
 def blocks(root: Node) -> list[Block]:
     """Non-empty text blocks in page order."""
-    out, current = [], Block(())
-    work = [(root, (), False)]
+    out, current = [], Block(None)
+    work = [(root, None, False)]
     while work:
         node, path, leave = work.pop()
         if isinstance(node, str):
@@ -233,7 +270,7 @@ def blocks(root: Node) -> list[Block]:
             continue
         inner = path
         if node.tag in BLOCK or node.tag == "#root":
-            inner = (*path, node)
+            inner = Path(node, path)
             out.append(current)
             current = Block(inner)
             work.append((node, path, True))
@@ -242,157 +279,60 @@ def blocks(root: Node) -> list[Block]:
     return [b for b in out if b.text()]
 
 
-# --- trees as nested lists [label, [children], text or None] ---------------
-
-def outline(root: Node, found: list[Block]) -> list:
-    """Tree of the block elements above some blocks; each leaf is a block
-    number, so a page and its outline keep the same order."""
-    top = ["#root", []]
-    open_nodes: dict[int, list] = {}
-    for number, block in enumerate(found):
-        at = top
-        for node in block.path:
-            key = id(node)
-            if key not in open_nodes:
-                open_nodes[key] = [f"{node.tag}.{node.name}" if node.name else node.tag, []]
-                at[1].append(open_nodes[key])
-            at = open_nodes[key]
-        at[1].append(["#text", [], number])
-    return top
-
-
-def tree_match(a: list, b: list) -> tuple[int, list]:
-    """Simple tree matching: (matched nodes, matched pairs of nodes) of the
-    largest order-preserving top-down mapping of equal labels."""
-    if a[0] != b[0]:
-        return 0, []
-    x, y = a[1], b[1]
-    n, m = len(x), len(y)
-    if n == m == 1 and x[0][0] == y[0][0] == "#text":
-        return 2, [(a, b), (x[0], y[0])]
-    if not n or not m:
-        return 1, [(a, b)]
-    sub = [[None] * m for _ in range(n)]
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n):
-        row, up = best[i + 1], best[i]
-        for j in range(m):
-            if x[i][0] == y[j][0]:
-                sub[i][j] = (1, [(x[i], y[j])]) if x[i][0] == "#text" else tree_match(x[i], y[j])
-            here = up[j] + sub[i][j][0] if sub[i][j] else 0
-            row[j + 1] = max(row[j], up[j + 1], here)
-    pairs, i, j = [(a, b)], n, m
-    while i and j:
-        if sub[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + sub[i - 1][j - 1][0]:
-            pairs += sub[i - 1][j - 1][1]
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return 1 + best[n][m], pairs
-
-
-def _size(tree: list) -> int:
-    return 1 + sum(_size(k) for k in tree[1])
-
-
-def merge(wrapper: list, page: list) -> None:
-    """Add to the wrapper what of the page does not match, in its place."""
-    _, pairs = tree_match(wrapper, page)
-    to = {id(p): w for w, p in pairs}
-    room = MAX_WRAPPER - _size(wrapper)
-    for w, p in pairs:
-        place = 0
-        for kid in p[1]:
-            if id(kid) in to:
-                place = next(i for i, k in enumerate(w[1]) if k is to[id(kid)]) + 1
-            elif _size(kid) <= room:
-                w[1].insert(place, kid)
-                room -= _size(kid)
-                place += 1
-
-
-def _bare(tree: list) -> list:
-    return [tree[0], [_bare(k) for k in tree[1]]]
-
-
-def _number(tree: list, start: int = 0) -> int:
-    """Give every node its preorder number as third item."""
-    tree[2:] = [start]
-    start += 1
-    for k in tree[1]:
-        start = _number(k, start)
-    return start
-
-
-def _page(text: str):
-    root = content_root(parse(text))
-    found = blocks(root)
-    return found, outline(root, found)
-
-
-def _build(batches):
-    """host, wrapper from the exemplars' html."""
-    for batch in batches:
-        hosts, wrappers = [], []
-        for host, pages in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            wrapper = None
-            for text in pages:
-                tree = _bare(_page(text)[1])
-                if wrapper is None:
-                    wrapper = tree
-                else:
-                    merge(wrapper, tree)
-            hosts.append(host)
-            wrappers.append(json.dumps(wrapper))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(wrappers, pa.string())], names=["host", "wrapper"])
+def layout(root: Node, content: Node) -> int:
+    """Hash of the labels from the page's root to its content root."""
+    work = [(root, None)]
+    while work:
+        node, up = work.pop()
+        path = Path(node, up)
+        if node is content or content.tag == node.tag != "#root" and node in content.kids:
+            return path.number()
+        work.extend((k, path) for k in reversed(node.kids) if isinstance(k, Node) and not _dropped(k))
+    return 0
+
+
+def _page(text: str) -> tuple[list[Block], int]:
+    """Blocks of a page's content root and its layout."""
+    root = parse(text)
+    content = content_root(root)
+    return blocks(content), layout(root, content)
 
 
 def _align(batches):
-    """page_id, url, host, texts of the blocks, wrapper node of each block (-1: none)."""
-    models: dict[str, list] = {}
+    """page_id, url, host, layout, texts of the blocks and their nodes."""
     for batch in batches:
-        texts, nodes = [], []
-        for text, wrapper in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-            found, tree = _page(text or "")
-            if wrapper not in models:
-                if len(models) > 100:
-                    models.clear()
-                models[wrapper] = json.loads(wrapper) if wrapper else ["#root", []]
-                _number(models[wrapper])
-            at = {q[2]: w[2] for w, q in tree_match(models[wrapper], tree)[1] if w[0] == "#text"}
-            texts.append([b.text() for b in found])
-            nodes.append([at.get(i, -1) for i in range(len(found))])
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(texts, pa.list_(pa.string())), pa.array(nodes, pa.list_(pa.int32()))],
-            names=["page_id", "url", "host", "texts", "nodes"])
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            layouts, texts, nodes = [], [], []
+            for text in part.column(3).to_pylist():
+                found, kind = _page(text or "")
+                layouts.append(kind)
+                texts.append([b.text() for b in found])
+                nodes.append([b.path.number() if b.path else 0 for b in found])
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array(layouts, pa.int64()), pa.array(texts, pa.list_(pa.string())), pa.array(nodes, pa.list_(pa.int64()))],
+                names=["page_id", "url", "host", "layout", "texts", "nodes"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars per page."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         url_host(F.col(url_col).cast("string")).alias("host"), F.col(html_col).cast("string").alias("html"))
-    full = rows.where("html is not null").select("host", F.xxhash64("html").alias("draw"), "html")
-    first = Window.partitionBy("host").orderBy("draw")
-    chosen = full.select("host", "draw").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= EXEMPLARS)
-    samples = full.join(chosen, ["host", "draw"]).groupBy("host", "draw").agg(F.first("html").alias("html"))
-    samples = samples.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("draw", "html"))), lambda x: x["html"]).alias("pages"))
-    wrappers = C.saved(samples.mapInArrow(_build, "host string, wrapper string"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    placed = C.saved(rows.join(wrappers, "host", "left").select("page_id", "url", "host", "html", "wrapper").mapInArrow(
-        _align, f"page_id {kind}, url string, host string, texts array<string>, nodes array<int>"))
-    digest = F.xxhash64("texts")
-    different = placed.select("host", digest.alias("page"), "nodes", F.transform("texts", lambda t: F.xxhash64(t)).alias("marks"))
-    stands = (different.select("host", "page", F.explode(F.arrays_zip("nodes", "marks")).alias("x"))
-              .select("host", "page", F.col("x.nodes").alias("node"), F.col("x.marks").alias("mark")).where("node >= 0").distinct())
-    total = different.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    fixed = (stands.groupBy("host", "node", "mark").agg(F.count("*").alias("n")).join(total, "host")
-             .where((F.col("n") >= LEAST_PAGES) & (F.col("n") > SHARE * F.col("pages")))
-             .groupBy("host").agg(F.collect_list(F.struct("node", "mark")).alias("fixed")))
-    out = placed.join(C.saved(fixed), "host", "left")
-    free = F.filter(F.arrays_zip("nodes", "texts"), lambda x: ~F.coalesce(F.exists(
-        "fixed", lambda f: (f["node"] == x["nodes"]) & (f["mark"] == F.xxhash64(x["texts"]))), F.lit(False)))
-    text = F.array_join(F.transform(F.when(F.col("fixed").isNull(), F.arrays_zip("nodes", "texts")).otherwise(free),
-                                    lambda x: x["texts"]), "\n\n")
+    aligned = C.saved(rows.mapInArrow(
+        _align, f"page_id {kind}, url string, host string, layout long, texts array<string>, nodes array<long>"))
+    marks = F.transform(F.arrays_zip("nodes", "texts"), lambda x: F.xxhash64(x["nodes"], x["texts"]))
+    group = F.xxhash64("host", "layout")
+    different = aligned.select(group.alias("grp"), F.xxhash64("texts", "nodes").alias("page"), marks.alias("marks")).distinct()
+    total = different.groupBy("grp").agg(F.count("*").alias("pages"))
+    stands = different.select("grp", F.explode(F.array_distinct("marks")).alias("mark"))
+    fixed = (stands.groupBy("grp", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).join(total, "grp")
+             .where(F.col("n") > SHARE * F.col("pages")).groupBy("grp").agg(F.collect_list("mark").alias("fixed")))
+    out = aligned.withColumn("grp", group).join(C.saved(fixed), "grp", "left")
+    size = lambda texts: F.aggregate(texts, F.lit(0).cast("long"), lambda n, t: n + F.length(t))
+    free = F.transform(F.filter(F.arrays_zip("nodes", "texts"), lambda x: ~F.array_contains(
+        "fixed", F.xxhash64(x["nodes"], x["texts"]))), lambda x: x["texts"])
+    out = out.withColumn("free", F.when(F.col("fixed").isNotNull(), free))
+    own = F.when(size(F.col("free")) >= (1 - SHARE) * size(F.col("texts")), F.col("free"))
+    text = F.array_join(F.coalesce(own, F.col("texts")), "\n\n")
     return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

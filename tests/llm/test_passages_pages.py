@@ -240,10 +240,69 @@ def test_page_forms(page, text):
     assert "\n\n".join(b.text() for b in html._page(page or "")[0]) == text
 
 
-def test_tree_matching_is_order_preserving():
-    a = ["r", [["p", []], ["d", [["x", []]]], ["p", []]]]
-    b = ["r", [["d", [["x", []], ["y", []]]], ["p", []], ["p", []]]]
-    assert html.tree_match(a, b)[0] == 4 and html.tree_match(a, a)[0] == 5 and html.tree_match(a, ["q", []])[0] == 0
+def tree_match(a, b):
+    """Matched pairs of paths by simple tree matching of (label, children)."""
+    x, y = a[1], b[1]
+    best = [[[]] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x)):
+        for j in range(len(y)):
+            sub = [(x[i][0], *p) for p in tree_match(x[i], y[j])] if x[i][0] == y[j][0] else []
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + sub, key=len)
+    return [()] + best[-1][-1]
+
+
+def folded(paths):
+    """Tree with siblings of one label as one, in label order, from paths."""
+    kids = {}
+    for p in paths:
+        if p:
+            kids.setdefault(p[0], []).append(p[1:])
+    return sorted((label, folded(below)) for label, below in kids.items())
+
+
+def test_equal_paths_are_the_largest_match_of_folded_trees():
+    rng = random.Random(6)
+    for _ in range(200):
+        one, two = ({tuple(rng.choice("pdu") for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 9))} for _ in range(2))
+        whole = [{p[:k] for p in paths for k in range(len(p) + 1)} for paths in (one, two)]
+        assert set(tree_match(("", folded(one)), ("", folded(two)))) == whole[0] & whole[1]
+    # the keys of blocks are such paths: equal where tags and classes are, whatever the siblings and numbers
+    key = lambda page, k=-1: html._page(page)[0][k].path.key
+    assert key("<div class='c7'><p>a</div>") == key("<h1>t</h1><div class='c12'><p>x</p><p>y</p></div>")
+    assert key("<div class='c'><p>a</div>") != key("<div class='d'><p>a</div>") != key("<div class='d'>a</div>")
+
+
+def run_pages(spark, rows):
+    return {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_template_does_not_depend_on_the_number_of_pages(spark):
+    body = "<body><section><h2>Title {0}</h2><p>First {0} words</p></section><div>Closing line</div></body>"
+    rows = [(100 * n + i, f"http://h{n}.org/", body.format(i)) for n in (2, 3, 7, 8, 30) for i in range(n)]
+    out = run_pages(spark, rows + [(1, "http://one.org/", body.format(1))])
+    assert out.pop(1) == "Title 1\n\nFirst 1 words\n\nClosing line"
+    assert out == {p: f"Title {p % 100}\n\nFirst {p % 100} words" for p in out} and len(out) == 50
+
+
+def test_each_layout_of_a_host_has_its_template(spark):
+    page = "<body><div class='{1}'><main><p>Text {0}</p><p>Line of {1}</p></main></div></body>"
+    out = run_pages(spark, [(i, "http://h.org/", page.format(i, "ab"[i % 2] * 3)) for i in range(20)])
+    assert out == {i: f"Text {i}" for i in range(20)}
+
+
+def test_near_copies_of_a_page_keep_their_text(spark):
+    page = "<body><main><p>" + "</p><p>".join(f"Line {k} of an article" for k in range(9)) + "</p><p>Edit {0}</p></main></body>"
+    out = run_pages(spark, [(i, "http://h.org/", page.format(i)) for i in range(4)])
+    assert out == {i: "\n\n".join([f"Line {k} of an article" for k in range(9)] + [f"Edit {i}"]) for i in range(4)}
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<article>" + "<div>" * 20000 + "deep {0}" + "</div>" * 20000 + "<p>Closing</p>"
+    mixed = "<article>" + "".join(f"<h2>h{k}</h2><p class='x{k}'>text {k} {{0}}</p></b>" for k in range(20000)) + "<div>Closing</div>"
+    out = run_pages(spark, [(2 * i + k, f"http://h{k}.org/", page.format(i)) for k, page in enumerate((deep, mixed)) for i in range(3)])
+    for i in range(3):
+        assert out[2 * i] == f"deep {i}"
+        assert out[2 * i + 1].endswith(f"text 19999 {i}") and f"text 7 {i}\n\n" in out[2 * i + 1]
 
 
 def test_page_edges(spark):
