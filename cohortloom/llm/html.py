@@ -314,6 +314,23 @@ def _align(batches):
                 names=["page_id", "url", "host", "layout", "texts", "nodes"])
 
 
+def _strip(batches):
+    """page_id, url, text without the constant texts of the page's group."""
+    known: dict[int, frozenset] = {}
+    for batch in batches:
+        out = []
+        for grp, texts, marks, fixed in zip(*(batch.column(i) for i in range(2, 6))):
+            grp, texts, marks = grp.as_py(), texts.as_py(), marks.as_py()
+            if grp not in known:
+                if len(known) > 100:
+                    known.clear()
+                known[grp] = frozenset(fixed.as_py())
+            free = [t for t, m in zip(texts, marks) if m not in known[grp]]
+            near = sum(map(len, free)) < (1 - SHARE) * sum(map(len, texts))
+            out.append("\n\n".join(texts if near else free))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars per page."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
@@ -329,10 +346,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     fixed = (stands.groupBy("grp", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).join(total, "grp")
              .where(F.col("n") > SHARE * F.col("pages")).groupBy("grp").agg(F.collect_list("mark").alias("fixed")))
     out = aligned.withColumn("grp", group).join(C.saved(fixed), "grp", "left")
-    size = lambda texts: F.aggregate(texts, F.lit(0).cast("long"), lambda n, t: n + F.length(t))
-    free = F.transform(F.filter(F.arrays_zip("nodes", "texts"), lambda x: ~F.array_contains(
-        "fixed", F.xxhash64(x["nodes"], x["texts"]))), lambda x: x["texts"])
-    out = out.withColumn("free", F.when(F.col("fixed").isNotNull(), free))
-    own = F.when(size(F.col("free")) >= (1 - SHARE) * size(F.col("texts")), F.col("free"))
-    text = F.array_join(F.coalesce(own, F.col("texts")), "\n\n")
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    free = out.where("fixed is not null").select("page_id", "url", "grp", "texts", marks.alias("marks"), "fixed").mapInArrow(
+        _strip, f"page_id {kind}, url string, text string")
+    whole = out.where("fixed is null").select("page_id", "url", F.array_join("texts", "\n\n").alias("text"))
+    return whole.union(free).withColumn("n_chars", F.length("text").cast("long"))
