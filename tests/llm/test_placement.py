@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import random
 import re
 import zlib
@@ -41,8 +42,42 @@ def test_shard_edges(docs_df):
     assert sharding.shard(docs_df([])).count() == 0
 
 
+def heap_loads(sizes, shards):
+    """Loads by taking the groups one by one."""
+    heap = [(0, s) for s in range(shards)]
+    for size in sorted(sizes, reverse=True):
+        load, s = heapq.heappop(heap)
+        heapq.heappush(heap, (load + size, s))
+    return [load for load, _ in sorted(heap, key=lambda x: x[1])]
+
+
 def test_lpt_takes_the_least_loaded_shard():
-    assert sharding.lpt([(5, "a"), (9, "b"), (4, "c"), (3, "d")], 2) == [("b", 0), ("a", 1), ("c", 1), ("d", 0)]
+    assert sharding.lpt([(5, 1, 5), (9, 1, 9), (4, 1, 4), (3, 1, 3)], 2) == [(9, [1, 0]), (5, [0, 1]), (4, [0, 1]), (3, [1, 0])]
+    assert sharding.lpt([], 4) == []
+    rng = random.Random(4)
+    for _ in range(200):
+        counts = {rng.randrange(1, 3000): rng.choice([1, 2, 7, 40, 500, 3000]) for _ in range(rng.randrange(1, 30))}
+        shards = rng.randrange(1, 18)
+        plan = sharding.lpt([(size, n, size * n) for size, n in counts.items()], shards)
+        assert all(sum(taken) == counts[size] for size, taken in plan)
+        assert [sum(size * taken[s] for size, taken in plan) for s in range(shards)] == heap_loads(
+            [size for size, n in counts.items() for _ in range(n)], shards)
+
+
+def test_every_group_is_placed_by_lpt(docs_df, doc_rows):
+    rng = random.Random(9)
+    rows = [(i, t) for i, t in doc_rows] + [(10**6 + i, "x" * rng.choice([3, 40, 900, 8000]) + str(i // rng.choice([1, 3]))) for i in range(1500)]
+    groups = defaultdict(int)
+    for _, t in rows:
+        groups[t or ""] += len((t or "").encode()) + 1
+    load = defaultdict(int)
+    for r in sharding.shard(docs_df(rows), 7).collect():
+        load[r["shard"]] += r["size"]
+    want = heap_loads(groups.values(), 7)
+    if max(groups.values()) < 1 << sharding.SIZE_BITS:
+        assert [load[s] for s in range(7)] == want
+    else:        # above 13 bits a group counts with the mean of its row
+        assert max(load.values()) - min(load.values()) <= max(want) - min(want) + max(groups.values()) // 4096 * 7 + 8
 
 
 def fill(sizes, weights, share, cap):
