@@ -4,8 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet in the shared folder and read again as the next one's
 input. All stages but the last return the columns of ``documents``.
 
-A document without an id passes the stages that decide by text; rows
-without words fail the quality rules.
+Defined results: rows without words (null and empty texts) fail the quality
+rules. A document without an id passes the stages that decide by text; of
+rows that share id and text one stays after near_dedup. Ties go to the
+least id. Texts are read whole, whatever their length. Columns beyond those
+of ``documents`` are ignored. Empty tables give empty tables; without
+labels or benchmark the rules judge by their fixed limits and nothing is
+contaminated.
 """
 
 from __future__ import annotations
