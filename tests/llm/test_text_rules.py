@@ -8,6 +8,7 @@ import random
 import re
 from collections import Counter
 
+import xxhash
 from cohortloom.llm import licenses, quality, secrets
 
 EDGE = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c a b c a b c"), (5, "x\nx\n x\n\ny\ny"), (6, "#tag & <b> | 100% $"),
@@ -36,6 +37,35 @@ def test_quality_measures_and_verdict(documents, doc_rows, docs_df, labels_df, s
         assert r["base_failed"] == failed and r["kept"] == (not failed and r["score"] >= quality.THRESHOLD)
 
 
+def ngram_buckets(text):
+    """Buckets of all words and word pairs, by XXH64 chained over the words."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    one = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    two = [xxhash.xxh64_intdigest(w.encode(), h) for h, w in zip(one, words[1:])]
+    return [h % quality.BUCKETS for h in one + two]
+
+
+def test_quality_scores_equal_brute_force(documents, doc_rows, spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    trusted = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    raw, target = Counter(), Counter()
+    held = {i: ngram_buckets(t) for i, t in doc_rows}
+    for i, found in held.items():
+        raw.update(found)
+        if i in trusted:
+            target.update(found)
+    r, t, prior = raw.total(), target.total(), quality.PRIOR * quality.BUCKETS
+    assert 0 < t < r
+    # (target + prior * raw share) / (all target + prior), against the raw share
+    weight = {b: math.log((target[b] + prior * n / r) / (t + prior) / (n / r)) for b, n in raw.items()}
+    rows = quality.assess(documents, labels).select("row.doc_id", "j.*").collect()
+    assert len(rows) == len(held) and any(r["score"] < 0 for r in rows) and any(r["score"] > 0 for r in rows)
+    for row in rows:
+        found = held[row["doc_id"]]
+        want = sum(weight[b] for b in found) / len(found) if found else 0.0
+        assert abs(row["score"] - want) < 1e-9
+
+
 def test_quality_held_out_accuracy(documents, spark):
     """Weights from even ids tell good from bad labels of odd ids."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
